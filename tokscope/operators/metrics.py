@@ -1,15 +1,16 @@
 """Per-language tokenizer quality metrics as one aggregate plan.
 
-Shape of the plan (one scan, one small shuffle):
-
-1. per document and model: integer counts only (tokens, words, bytes, token
-   lengths, unknowns, split words of the continuation sample) computed as
-   array expressions -- no explode of the corpus;
-2. one ``groupBy(model, lang)`` with partial aggregation (a hot language is
-   combined map-side, so skew cannot pile rows on one reducer);
-3. ratios are formed once from integer sums (bit-identical across engines);
-4. small dimension joins (language metadata, vocabulary coverage) are
-   broadcast: both are bounded by models x languages.
+Shape of the plan:
+
+1. words of every document are counted as distinct ``(lang, word)`` pairs
+   (partial aggregation combines hot words map-side, so a language or word
+   holding a third of the corpus never lands on one reducer in full);
+2. each tokenizer runs once per distinct word (tokens never cross
+   whitespace, so every count is a weighted sum over distinct words);
+3. one ``groupBy(model, lang)`` of integer sums; ratios are formed once
+   from integer sums (bit-identical across engines);
+4. small dimension joins (language metadata, code points) are broadcast:
+   both are bounded by the fixed language table.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions import langmeta
-from tokscope.functions.text import (UNK_TOKEN, example_sentence, first_char, grade_eval,
+from tokscope.functions.text import (WS, UNK_TOKEN, example_sentence, first_char, grade_eval,
                                      grade_train, n_bytes, n_words, safe_div,
                                      strip_length_markers, token_preview, words)
 from tokscope.operators.tokenizers import TOKENIZERS
@@ -51,85 +52,74 @@ def _zero():
     return F.lit(0).cast("bigint")
 
 
-def model_struct(model: str, toks, split_words, in_cont, unk: str | None = None):
-    """Counts of one document under one model, plus its distinct first chars.
+def word_counts(sample: DataFrame, cont_docs: int | None = CONT_DOCS) -> DataFrame:
+    """lang, in_cont, word, cnt, n_bytes: distinct whitespace words with counts.
 
-    Returns an ARRAY<STRUCT> with one counts entry (``ch`` NULL) followed by
-    one entry per distinct first character of the marker-cleaned tokens.
-    """
-    len_sum, len_n = _token_len_sum(toks, unk)
-    n_unk = _zero() if unk is None else unk_counts(toks, unk)
-    counts = F.struct(
-        F.lit(model).alias("model"), F.lit(None).cast("string").alias("ch"),
-        F.size(toks).cast("bigint").alias("n_tok"),
-        len_sum.alias("len_sum"), len_n.alias("len_n"), n_unk.alias("n_unk"),
-        F.when(in_cont, split_words).otherwise(_zero()).alias("cont_split"))
-    chars = F.array_distinct(F.filter(F.transform(toks, first_char), lambda x: x.isNotNull()))
-    char_rows = F.transform(chars, lambda c: F.struct(
-        F.lit(model).alias("model"), c.alias("ch"), _zero().alias("n_tok"), _zero().alias("len_sum"),
-        _zero().alias("len_n"), _zero().alias("n_unk"), _zero().alias("cont_split")))
-    return F.concat(F.array(counts), char_rows)
-
-
-def doc_counts(sample: DataFrame, models: list[str], ref_model: str = "script",
-               cont_docs: int | None = CONT_DOCS) -> DataFrame:
-    """Per document x model rows: model, ch, doc_id, lang, n_words, n_bytes,
-    n_tok, n_ref_tok, len_sum, len_n, n_unk, cont_split, cont_words.
-
-    Rows with ``ch`` NULL carry the counts; rows with a character carry the
-    distinct first characters of the document's tokens (for coverage), so
-    counts and vocabulary come out of ONE scan and ONE aggregation.
-    ``sample`` is (doc_id, lang, text) with text already cleaned.
+    Every tokenizer here keeps its tokens inside whitespace words, so all
+    per-language token metrics are sums over distinct words weighted by their
+    counts. Partial aggregation combines hot words map-side; tokenizers then
+    run once per distinct word instead of once per occurrence.
+
+    Each document also contributes one row with ``word`` NULL carrying its
+    UTF-8 byte length, so document and byte totals come out of the same
+    single scan and aggregation (``cnt`` of the NULL row = documents).
     """
     if cont_docs is None:
         flagged = sample.withColumn("in_cont", F.lit(True))
     else:
         flagged = (sample.join(continuation_flags(sample, cont_docs), "doc_id", "left")
                    .withColumn("in_cont", F.coalesce("in_cont", F.lit(False))))
-    base = flagged.select(
-        "doc_id", "lang", "text", "in_cont",
-        n_words("text").alias("n_words"), n_bytes("text").alias("n_bytes"),
-        F.size(TOKENIZERS[ref_model].tokens(F.col("text"))).cast("bigint").alias("n_ref_tok"))
-    arrays = []
+    parts = F.split(F.col("text"), f"{WS}+")
+    items = F.concat(F.array(F.lit(None).cast("string")), parts)
+    exploded = flagged.select("lang", "in_cont", n_bytes("text").alias("doc_bytes"),
+                              F.posexplode(items).alias("i", "word"))
+    return (exploded.where((F.col("i") == 0) | (F.col("word") != ""))
+            .select("lang", "in_cont", "word",
+                    F.when(F.col("i") == 0, F.col("doc_bytes")).otherwise(_zero()).alias("b"))
+            .groupBy("lang", "in_cont", "word")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("cnt"), F.sum("b").cast("bigint").alias("n_bytes")))
+
+
+def doc_level(wc: DataFrame) -> DataFrame:
+    """lang, n_docs, n_bytes (UTF-8 bytes include whitespace) from the NULL rows."""
+    return (wc.where(F.col("word").isNull()).groupBy("lang")
+            .agg(F.sum("cnt").cast("int").alias("n_docs"), F.sum("n_bytes").cast("bigint").alias("n_bytes")))
+
+
+def word_model_stats(wc: DataFrame, models: list[str], ref_model: str = "script") -> DataFrame:
+    """Per (model, lang, in_cont, word): cnt, pieces, len_sum, fc (first chars),
+    ref_pieces. Runs the tokenizers on distinct words only."""
+    w = F.col("word")
+    ref = TOKENIZERS[ref_model].pieces(w).cast("bigint")
+    structs = []
     for m in models:
-        tk = TOKENIZERS[m]
-        split = F.size(F.filter(words("text"), lambda w: tk.pieces(w) > 1)).cast("bigint")
-        arrays.append(model_struct(m, tk.tokens(F.col("text")), split, F.col("in_cont")))
-    return explode_model_rows(base, F.concat(*arrays) if len(arrays) > 1 else arrays[0])
-
-
-def explode_model_rows(base: DataFrame, arr) -> DataFrame:
-    is_counts = F.col("m.ch").isNull()
-    return (base.select("doc_id", "lang", "n_words", "n_bytes", "n_ref_tok", "in_cont",
-                        F.explode(arr).alias("m"))
-            .select(F.col("m.model").alias("model"), F.col("m.ch").alias("ch"), "doc_id", "lang",
-                    *[F.when(is_counts, F.col(c)).otherwise(_zero()).alias(c)
-                      for c in ("n_words", "n_bytes")],
-                    "m.n_tok",
-                    F.when(is_counts, F.col("n_ref_tok")).otherwise(_zero()).alias("n_ref_tok"),
-                    "m.len_sum", "m.len_n", "m.n_unk", "m.cont_split",
-                    F.when(is_counts & F.col("in_cont"), F.col("n_words")).otherwise(_zero())
-                    .alias("cont_words")))
-
-
-def grouped_counts(counts: DataFrame) -> DataFrame:
-    """ONE aggregation: groupBy(model, lang, ch) with partial (map-side) combine.
-
-    ``ch`` NULL rows hold the per-language sums; other rows are the distinct
-    first characters (bounded by models x languages x distinct code points).
-    """
-    s = lambda c: F.sum(c).cast("bigint")
-    return counts.groupBy("model", "lang", "ch").agg(
-        F.count(F.lit(1)).cast("int").alias("n_docs"),
-        s("n_words").alias("n_words"), s("n_tok").alias("n_tokens"),
-        s("n_bytes").alias("n_bytes"), s("n_ref_tok").alias("n_ref_tokens"),
-        s("len_sum").alias("len_sum"), s("len_n").alias("len_n"), s("n_unk").alias("n_unk"),
-        s("cont_split").alias("cont_split"), s("cont_words").alias("cont_words"))
-
-
-def aggregate_counts(grouped: DataFrame) -> DataFrame:
-    """Per (model, lang): integer sums and the ratio metrics (unrounded)."""
-    agg = grouped.where(F.col("ch").isNull()).drop("ch")
+        toks = TOKENIZERS[m].tokens(w)
+        len_sum, _ = _token_len_sum(toks, None)
+        fc = F.array_distinct(F.filter(F.transform(toks, first_char), lambda x: x.isNotNull()))
+        structs.append(F.struct(F.lit(m).alias("model"), F.size(toks).cast("bigint").alias("pieces"),
+                                len_sum.alias("len_sum"), _zero().alias("n_unk"), fc.alias("fc")))
+    return (wc.where(F.col("word").isNotNull())
+            .select("lang", "in_cont", "word", "cnt", ref.alias("ref_pieces"),
+                      F.explode(F.array(*structs)).alias("m"))
+            .select("m.model", "lang", "in_cont", "word", "cnt", "ref_pieces",
+                    "m.pieces", "m.len_sum", "m.n_unk", "m.fc"))
+
+
+def aggregate_word_stats(stats: DataFrame, docs: DataFrame) -> DataFrame:
+    """Per (model, lang) sums from weighted distinct-word stats, plus ratios."""
+    c = F.col("cnt")
+    cont = F.col("in_cont")
+    z = _zero()
+    agg = stats.groupBy("model", "lang").agg(
+        F.sum(c).cast("bigint").alias("n_words"),
+        F.sum(c * F.col("pieces")).cast("bigint").alias("n_tokens"),
+        F.sum(c * F.col("ref_pieces")).cast("bigint").alias("n_ref_tokens"),
+        F.sum(c * F.col("len_sum")).cast("bigint").alias("len_sum"),
+        F.sum(c * F.col("pieces")).cast("bigint").alias("len_n"),
+        F.sum(c * F.col("n_unk")).cast("bigint").alias("n_unk"),
+        F.sum(F.when(cont & (F.col("pieces") > 1), c).otherwise(z)).cast("bigint").alias("cont_split"),
+        F.sum(F.when(cont, c).otherwise(z)).cast("bigint").alias("cont_words"))
+    agg = agg.join(docs, "lang")
     return agg.select(
         "model", "lang", "n_docs", "n_words", "n_tokens", "n_bytes", "n_ref_tokens",
         "len_sum", "len_n", "n_unk", "cont_split", "cont_words",
@@ -141,9 +131,9 @@ def aggregate_counts(grouped: DataFrame) -> DataFrame:
         safe_div("len_sum", "len_n").alias("avg_token_len"))
 
 
-def first_chars_of(grouped: DataFrame) -> DataFrame:
-    """model, ch: the model's (corpus-wide) distinct token first characters."""
-    return grouped.where(F.col("ch").isNotNull()).select("model", "ch").distinct()
+def first_chars_from_stats(stats: DataFrame) -> DataFrame:
+    """model, ch: distinct token first characters over the corpus."""
+    return stats.select("model", F.explode("fc").alias("ch")).distinct()
 
 
 def coverage_from_first_chars(spark: SparkSession, first_chars: DataFrame) -> DataFrame:

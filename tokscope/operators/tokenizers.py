@@ -1,12 +1,15 @@
 """Tokenizer registry for corpus jobs.
 
-SQL tokenizers (pure built-in expressions, usable inside whole-stage codegen):
+SQL tokenizers (pure built-in expressions):
 
 * ``whitespace`` -- whitespace words
 * ``char``       -- every non-whitespace code point
 * ``byte``       -- every UTF-8 byte of the non-whitespace text, as ``<0xHH>``
 * ``script``     -- script-aware pre-tokens
 
+None of them produces a token across whitespace, so the metric plan applies
+them to distinct words only (see :mod:`tokscope.operators.metrics`).
+
 The trained BPE model is applied through :mod:`tokscope.operators.encode`
 (distinct words encoded once, joined back) and enters the same metric plan.
 """
@@ -20,30 +23,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tokscope.functions.pretok import PRETOKEN_RE, pretokens
-from tokscope.functions.text import WS, words
+from tokscope.functions.text import NON_WS, WS, words
+
+def _rx_all(c: Column, pattern: str, idx: int = 0) -> Column:
+    return F.regexp_extract_all(c, F.lit(pattern), F.lit(idx))
 
 
 def _byte_tokens(c: Column) -> Column:
     packed = F.regexp_replace(c, f"{WS}+", "")
     hexed = F.hex(F.encode(packed, "UTF-8"))
-    return F.transform(F.regexp_extract_all(hexed, F.lit(".."), F.lit(0)),
-                       lambda x: F.concat(F.lit("<0x"), x, F.lit(">")))
+    return F.transform(_rx_all(hexed, ".."), lambda x: F.concat(F.lit("<0x"), x, F.lit(">")))
 
 
 @dataclass(frozen=True)
 class SqlTokenizer:
     name: str
-    tokens: Callable[[Column], Column]          # text -> ARRAY<STRING>
-    pieces: Callable[[Column], Column]          # one word -> number of tokens
+    tokens: Callable[[Column], Column]       # text -> ARRAY<STRING>
+    pieces: Callable[[Column], Column]       # one word -> number of tokens
 
 
 TOKENIZERS: dict[str, SqlTokenizer] = {
     "whitespace": SqlTokenizer("whitespace", words, lambda w: F.lit(1)),
-    "char": SqlTokenizer("char", lambda c: F.regexp_extract_all(c, F.lit(f"[^{WS[1:-1]}]"), F.lit(0)),
-                         lambda w: F.length(w)),
+    "char": SqlTokenizer("char", lambda c: _rx_all(c, NON_WS), lambda w: F.length(w)),
     "byte": SqlTokenizer("byte", _byte_tokens, lambda w: F.octet_length(w)),
-    "script": SqlTokenizer("script", pretokens,
-                           lambda w: F.size(F.regexp_extract_all(w, F.lit(PRETOKEN_RE), F.lit(0)))),
+    "script": SqlTokenizer("script", pretokens, lambda w: F.size(_rx_all(w, PRETOKEN_RE))),
 }
 
 SQL_MODELS = list(TOKENIZERS)

@@ -20,8 +20,8 @@ def evaluate(spark: SparkSession, docs: DataFrame, models: list[str] | None = No
     """
     models = models or SQL_MODELS
     sample = corpus.sample_eval(docs, n=n, max_chars=max_chars)
-    counts = metrics.doc_counts(sample, models, ref_model=ref_model, cont_docs=cont_docs)
-    grouped = metrics.grouped_counts(counts)
-    agg = metrics.aggregate_counts(grouped)
-    cov = metrics.coverage_from_first_chars(spark, metrics.first_chars_of(grouped))
+    wc = metrics.word_counts(sample, cont_docs=cont_docs)
+    stats = metrics.word_model_stats(wc, models, ref_model=ref_model)
+    agg = metrics.aggregate_word_stats(stats, metrics.doc_level(wc))
+    cov = metrics.coverage_from_first_chars(spark, metrics.first_chars_from_stats(stats))
     return metrics.results_rows(spark, agg, cov, rounded=rounded)
