@@ -11,7 +11,9 @@ needs no filter. Tokens never span whitespace.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokscope.functions.text import NON_WS, WS, WS_CHARS
@@ -66,26 +68,6 @@ def model_split(c) -> Column:
     return F.regexp_extract_all(_c(c), F.lit(MODEL_SPLIT_RE), F.lit(0))
 
 
-def pretoken_spans(c) -> Column:
-    """ARRAY<STRUCT<token, start, end>> with code-point offsets (end exclusive).
-
-    All matches (whitespace included) are folded left to right to carry the
-    running offset; whitespace matches are dropped afterwards.
-    """
-    allm = F.regexp_extract_all(_c(c), F.lit(PRETOKEN_SPAN_RE), F.lit(0))
-    empty = F.array().cast("array<struct<token:string,start:int,end:int>>")
-    init = F.struct(F.lit(0).alias("off"), empty.alias("acc"))
-
-    def step(state, tok):
-        start = state["off"]
-        end = start + F.length(tok)
-        item = F.struct(tok.alias("token"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("off"), F.array_append(state["acc"], item).alias("acc"))
-
-    folded = F.aggregate(allm, init, step, lambda s: s["acc"])
-    return F.filter(folded, lambda x: x["token"].rlike(NON_WS))
-
-
 def script_class(c) -> Column:
     """Which alternative produced a pre-token: a script name, Digits or Other."""
     tok = _c(c)
@@ -94,3 +76,42 @@ def script_class(c) -> Column:
         cond = tok.rlike(f"^[{cls}]")
         expr = F.when(cond, name) if expr is None else expr.when(cond, name)
     return expr.when(tok.rlike("^[0-9]"), "Digits").otherwise("Other")
+
+
+def python_pattern(java_pattern: str) -> str:
+    """The same pattern for Python's ``re`` (``\\x{hhhh}`` -> ``\\Uhhhhhhhh``)."""
+    return re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: "\\U%08x" % int(m.group(1), 16), java_pattern)
+
+
+SPAN_SCHEMA = "doc_id long, pos long, token string, span_start long, span_end long"
+
+
+def pretoken_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, pos, token, span_start, span_end (code points, end exclusive).
+
+    Offsets need a running sum over the matches of one text, which SQL
+    array functions can only express quadratically; this is a per-row
+    helper run on Arrow batches inside the tasks (no shuffle, linear).
+    """
+    pattern = python_pattern(PRETOKEN_SPAN_RE)
+
+    def spans(batches):
+        import pandas as pd
+        rx = re.compile(pattern)
+        for pdf in batches:
+            ids, pos, toks, starts, ends = [], [], [], [], []
+            for did, txt in zip(pdf[id_col], pdf[text_col]):
+                k = 0
+                for m in rx.finditer(txt or ""):
+                    tok = m.group(0)
+                    if tok.isspace():
+                        continue
+                    ids.append(did); pos.append(k); toks.append(tok)
+                    starts.append(m.start()); ends.append(m.end())
+                    k += 1
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "pos": pd.Series(pos, dtype="int64"),
+                                "token": pd.Series(toks, dtype="object"),
+                                "span_start": pd.Series(starts, dtype="int64"),
+                                "span_end": pd.Series(ends, dtype="int64")})
+
+    return df.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInPandas(spans, SPAN_SCHEMA)

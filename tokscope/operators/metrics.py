@@ -193,8 +193,9 @@ def fertility_pretok(counts_df: DataFrame) -> DataFrame:
 
 
 def macro_fertility(fert: DataFrame) -> DataFrame:
-    """Unweighted mean over languages of the rounded fertilities (0 if none)."""
-    return fert.agg(F.coalesce(F.avg("fertility"), F.lit(0.0)).alias("macro_fertility"),
+    """Unweighted mean over languages of the rounded fertilities (0 if none),
+    reported at 6 dp (the inputs carry 3)."""
+    return fert.agg(F.round(F.coalesce(F.avg("fertility"), F.lit(0.0)), 6).alias("macro_fertility"),
                     F.count(F.lit(1)).cast("bigint").alias("n_langs"))
 
 

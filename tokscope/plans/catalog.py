@@ -75,4 +75,5 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-__all__ = ["QUERIES", "queries", "metrics"]
+# query groups register themselves on import
+from tokscope.plans import q_corpus, q_compare  # noqa: E402,F401

@@ -169,9 +169,10 @@ def select_subset(spark: SparkSession, df: DataFrame, subset: str = "verified")
 
 def text_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per line of each text (documents with newlines become several
-    lines, as in a one-document-per-line file); stripped, empty lines dropped."""
+    lines, as in a one-document-per-line file read with universal newlines);
+    stripped, empty lines dropped."""
     return (df.select("doc_id", "lang",
-                      F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+                      F.posexplode(F.split(F.col(text_col), "\r\n|\r|\n")).alias("line_no", "line"))
             .select("doc_id", "lang", "line_no", strip("line").alias("line"))
             .where(F.length("line") > 0))
 
