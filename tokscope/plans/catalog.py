@@ -76,4 +76,4 @@ def queries() -> dict[str, Query]:
 
 
 # query groups register themselves on import
-from tokscope.plans import q_corpus, q_compare, q_vocab, q_chat, q_bpe, q_stream  # noqa: E402,F401
+from tokscope.plans import q_corpus, q_compare, q_vocab, q_chat, q_bpe, q_stream, q_io  # noqa: E402,F401
