@@ -2,8 +2,9 @@
 
 Input: ``conv_id, turn, role, text`` (turn = 0-based position of the message
 in its conversation) and optionally ``reasoning STRING`` and
-``tool_calls ARRAY<STRUCT<name STRING, arguments MAP<STRING, STRING>>>``
-(argument values already JSON text for maps/lists, plain text otherwise);
+``tool_calls ARRAY<STRUCT<name STRING, arguments ARRAY<STRUCT<key, value>>>>``
+(ordered arguments; a MAP<STRING, STRING> is accepted too; values already
+JSON text for maps/lists, plain text otherwise);
 optional per-conversation ``tools`` (see :func:`tools_preamble`).
 
 Plan: per-conversation facts (first role, last user turn, last turn) are one
@@ -65,10 +66,14 @@ def _neighbour_roles(msgs: DataFrame) -> DataFrame:
     return msgs.join(prev, ["conv_id", "turn"], "left").join(nxt, ["conv_id", "turn"], "left")
 
 
-def _tool_call_blocks(tool_calls: Column) -> Column:
+def _tool_call_blocks(tool_calls: Column, args_are_map: bool) -> Column:
     def one(tc):
+        if args_are_map:
+            entries = F.map_entries(F.coalesce(tc["arguments"], F.create_map().cast("map<string,string>")))
+        else:
+            entries = F.coalesce(tc["arguments"], F.array().cast("array<struct<key:string,value:string>>"))
         params = F.array_join(F.transform(
-            F.map_entries(F.coalesce(tc["arguments"], F.create_map().cast("map<string,string>"))),
+            entries,
             lambda e: F.concat(_lit("<parameter="), e["key"], _lit(">\n"), e["value"], _lit("\n</parameter>\n"))), "")
         return F.concat(_lit("<tool_call>\n<function="), tc["name"], _lit(">\n"), params,
                         _lit("</function>\n</tool_call>\n"))
@@ -83,7 +88,9 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
         msgs = msgs.withColumn("reasoning", F.lit(None).cast("string"))
     if "tool_calls" not in cols:
         msgs = msgs.withColumn("tool_calls", F.lit(None).cast(
-            "array<struct<name:string,arguments:map<string,string>>>"))
+            "array<struct<name:string,arguments:array<struct<key:string,value:string>>>>"))
+    args_type = msgs.schema["tool_calls"].dataType.elementType["arguments"].dataType
+    args_are_map = args_type.typeName() == "map"
     facts = conversation_facts(msgs)
     m = _neighbour_roles(msgs).join(facts, "conv_id")
     has_sys = F.col("first_role") == "system"
@@ -109,7 +116,7 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
                         .otherwise(F.concat(_lit(EMPTY_THINK), strip(hist), _lit("\n")))) \
         .otherwise(_lit(EMPTY_THINK))
     with_tools = F.concat(_lit(IM_START + "assistant\n"), tc_content,
-                          _tool_call_blocks(F.col("tool_calls")), _lit(IM_END))
+                          _tool_call_blocks(F.col("tool_calls"), args_are_map), _lit(IM_END))
     # assistant without tool calls
     trunc_c = strip(F.when(content.contains(THINK_OPEN) & content.contains(THINK_CLOSE),
                            F.concat(_lit(EMPTY_THINK), after_close)).otherwise(content))
