@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 WS_CHARS = (r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 WS = f"[{WS_CHARS}]"
+# the same set as a plain string of characters (for trim)
+WS_STRING = "".join(chr(c) for lo, hi in [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0),
+                                          (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029),
+                                          (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+                    for c in range(lo, hi + 1))
 NON_WS = f"[^{WS_CHARS}]"
 STRIP_RE = f"^{WS}+|{WS}+$"
 WORD_RE = f"{NON_WS}+"
@@ -46,8 +51,9 @@ def _c(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Unicode strip on both ends (``trim`` only removes U+0020); null -> ''."""
-    return F.regexp_replace(F.coalesce(_c(c), F.lit("")), STRIP_RE, "")
+    """Unicode strip on both ends; null -> ''. Plain ``trim`` only removes
+    U+0020, so the whitespace set is passed explicitly (codegen'd, no regex)."""
+    return F.trim(F.coalesce(_c(c), F.lit("")), F.lit(WS_STRING))
 
 
 def words(c) -> Column:

@@ -88,19 +88,18 @@ def doc_level(wc: DataFrame) -> DataFrame:
 
 def word_model_stats(wc: DataFrame, models: list[str], ref_model: str = "script") -> DataFrame:
     """Per (model, lang, in_cont, word): cnt, pieces, len_sum, fc (first chars),
-    ref_pieces. Runs the tokenizers on distinct words only."""
+    ref_pieces. Runs each tokenizer's closed forms once per distinct word."""
     w = F.col("word")
     ref = TOKENIZERS[ref_model].pieces(w).cast("bigint")
     structs = []
     for m in models:
-        toks = TOKENIZERS[m].tokens(w)
-        len_sum, _ = _token_len_sum(toks, None)
-        fc = F.array_distinct(F.filter(F.transform(toks, first_char), lambda x: x.isNotNull()))
-        structs.append(F.struct(F.lit(m).alias("model"), F.size(toks).cast("bigint").alias("pieces"),
-                                len_sum.alias("len_sum"), _zero().alias("n_unk"), fc.alias("fc")))
+        tk = TOKENIZERS[m]
+        structs.append(F.struct(F.lit(m).alias("model"), tk.pieces(w).alias("pieces"),
+                                tk.word_len_sum(w).alias("len_sum"), _zero().alias("n_unk"),
+                                tk.word_first_chars(w).alias("fc")))
     return (wc.where(F.col("word").isNotNull())
             .select("lang", "in_cont", "word", "cnt", ref.alias("ref_pieces"),
-                      F.explode(F.array(*structs)).alias("m"))
+                    F.explode(F.array(*structs)).alias("m"))
             .select("m.model", "lang", "in_cont", "word", "cnt", "ref_pieces",
                     "m.pieces", "m.len_sum", "m.n_unk", "m.fc"))
 

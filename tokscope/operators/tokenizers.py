@@ -23,7 +23,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tokscope.functions.pretok import PRETOKEN_RE, pretokens
-from tokscope.functions.text import NON_WS, WS, words
+from tokscope.functions.text import (COVERAGE_MARKERS, LENGTH_MARKERS, NON_WS, WS, WS_CHARS,
+                                     first_char, strip_length_markers, words)
+
+_LEN_M = "[" + LENGTH_MARKERS.replace("[", r"\[").replace("]", r"\]") + "]"
 
 def _rx_all(c: Column, pattern: str, idx: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(idx))
@@ -37,16 +40,46 @@ def _byte_tokens(c: Column) -> Column:
 
 @dataclass(frozen=True)
 class SqlTokenizer:
+    """``tokens`` works on any text; the ``word_*`` closed forms take ONE
+    whitespace word and give what the metric plan needs without per-token
+    lambdas (interpreted in Spark): number of tokens, summed marker-stripped
+    token length, distinct first characters of the marker-cleaned tokens."""
     name: str
-    tokens: Callable[[Column], Column]       # text -> ARRAY<STRING>
-    pieces: Callable[[Column], Column]       # one word -> number of tokens
+    tokens: Callable[[Column], Column]           # text -> ARRAY<STRING>
+    pieces: Callable[[Column], Column]           # word -> BIGINT
+    word_len_sum: Callable[[Column], Column]     # word -> BIGINT
+    word_first_chars: Callable[[Column], Column]  # word -> ARRAY<STRING>
+
+
+def _one(c: Column) -> Column:
+    return F.when(c.isNotNull(), F.array(c)).otherwise(F.array().cast("array<string>"))
+
+
+def _len(c: Column) -> Column:
+    return F.length(c).cast("bigint")
 
 
 TOKENIZERS: dict[str, SqlTokenizer] = {
-    "whitespace": SqlTokenizer("whitespace", words, lambda w: F.lit(1)),
-    "char": SqlTokenizer("char", lambda c: _rx_all(c, NON_WS), lambda w: F.length(w)),
-    "byte": SqlTokenizer("byte", _byte_tokens, lambda w: F.octet_length(w)),
-    "script": SqlTokenizer("script", pretokens, lambda w: F.size(_rx_all(w, PRETOKEN_RE))),
+    "whitespace": SqlTokenizer(
+        "whitespace", words, lambda w: F.lit(1).cast("bigint"),
+        lambda w: _len(strip_length_markers(w)),
+        lambda w: _one(first_char(w))),
+    "char": SqlTokenizer(
+        "char", lambda c: _rx_all(c, NON_WS), lambda w: _len(w),
+        # a marker character is a whole token and strips to ''
+        lambda w: _len(F.regexp_replace(w, _LEN_M, "")),
+        lambda w: F.array_distinct(_rx_all(w, f"[^{WS_CHARS}{COVERAGE_MARKERS}]"))),
+    "byte": SqlTokenizer(
+        "byte", _byte_tokens, lambda w: F.octet_length(w).cast("bigint"),
+        # "<0xHH>" without its leading "<" has 5 characters
+        lambda w: F.octet_length(w).cast("bigint") * 5,
+        lambda w: _one(F.when(F.length(w) > 0, F.lit("<")))),
+    "script": SqlTokenizer(
+        "script", pretokens, lambda w: F.size(_rx_all(w, PRETOKEN_RE)).cast("bigint"),
+        # marker characters are always single-character pre-tokens
+        lambda w: _len(F.regexp_replace(w, _LEN_M, "")),
+        # first character of every pre-token that does not clean to ''
+        lambda w: F.array_distinct(_rx_all(w, f"(?=([^{WS_CHARS}{COVERAGE_MARKERS}]))(?:{PRETOKEN_RE})", 1))),
 }
 
 SQL_MODELS = list(TOKENIZERS)
