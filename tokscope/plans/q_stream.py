@@ -17,11 +17,16 @@ def _src(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/documents.parquet*"
 
 
+def _spread(spark) -> int:
+    # the given table is one file: spread each micro-batch over the cores
+    return spark.sparkContext.defaultParallelism
+
+
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     """Incremental ingest: cleaned, pre-tokenized documents appended to a table."""
     out, ck = scratch_path(spark, "stream-ingest"), scratch_path(spark, "stream-ingest-ck")
-    cs.append_to_table(cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir))), out, ck)
+    cs.append_to_table(cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir), spread=_spread(spark))), out, ck)
     return spark.read.parquet(out).select("doc_id", "lang", F.md5("text").alias("text_md5"), "processed")
 
 
@@ -35,7 +40,8 @@ FROM (SELECT doc_id, lang, {strip_sql('text')} AS t FROM documents) WHERE length
 def q_stream_running_stats(spark, sf_dir):
     """Running per-language docs/words/tokens/bytes with derived fertility."""
     out, ck = scratch_path(spark, "stream-stats"), scratch_path(spark, "stream-stats-ck")
-    stream = cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir), max_files_per_trigger=1))
+    stream = cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir), max_files_per_trigger=1,
+                                              spread=_spread(spark)))
     cs.complete_to_table(cs.running_stats(stream), out, ck)
     return cs.with_ratios(spark.read.parquet(out))
 

@@ -70,18 +70,11 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                      expr.otherwise(F.col("text")).alias("text"))
 
 
-def first_n_per_group(df: DataFrame, n: int, group: list[str] | str,
-                      order: list[str] | str, fanout: int = DEFAULT_FANOUT) -> DataFrame:
-    """Exact first-``n`` rows per group by ``order`` (ties broken by the order key).
-
-    Skew-safe two-level top-N: level 1 ranks inside (group, input-partition
-    bucket) so a hot group is spread over ``fanout`` tasks; level 2 ranks the
-    survivors per group. Both levels plan a partial WindowGroupLimit below
-    their shuffle, so each map task ships at most ``n`` rows per group.
-    The first ``n`` of a union equals the first ``n`` of the per-part firsts.
-    """
-    group = [group] if isinstance(group, str) else list(group)
-    order = [order] if isinstance(order, str) else list(order)
+def _ranked_first_n(df: DataFrame, n: int, group: list[str], order: list[str], fanout: int) -> DataFrame:
+    """Two-level window top-N (level 1 spreads a hot group over ``fanout``
+    tasks by input partition; both levels plan a partial WindowGroupLimit
+    below their shuffle). The first n of a union = the first n of the
+    per-part firsts."""
     out = df
     if fanout and fanout > 1:
         out = out.withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(fanout)))
@@ -93,6 +86,33 @@ def first_n_per_group(df: DataFrame, n: int, group: list[str] | str,
             .where(F.col("_rn") <= n).drop("_rn"))
 
 
+def first_n_per_group(df: DataFrame, n: int, group: list[str] | str,
+                      order: list[str] | str, fanout: int = DEFAULT_FANOUT) -> DataFrame:
+    """Exact first-``n`` rows per group by ``order`` (the order key must be
+    unique within a group, e.g. ``doc_id``).
+
+    1. count rows per group (partial aggregation, one row per group);
+       groups within the cap pass through untouched -- no shuffle at all;
+    2. for groups over the cap (at most rows / n of them: a proven bound,
+       broadcast) the cutoff key is found from the KEY columns only with a
+       skew-safe two-level window top-N, so no text crosses a shuffle;
+    3. rows are kept when their key is <= their group's cutoff (broadcast
+       join of one row per over-cap group).
+    """
+    group = [group] if isinstance(group, str) else list(group)
+    order = [order] if isinstance(order, str) else list(order)
+    keys = df.select(*group, *order)
+    over = (keys.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > n).select(*group))
+    if over.limit(1).count() == 0:
+        return df
+    key = F.struct(*[F.col(c) for c in order])
+    firsts = _ranked_first_n(keys.join(F.broadcast(over), group, "left_semi"), n, group, order, fanout)
+    cut = firsts.groupBy(*group).agg(F.max(key).alias("_cut"))
+    return (df.join(F.broadcast(cut), group, "left")
+            .where(F.col("_cut").isNull() | (key <= F.col("_cut"))).drop("_cut"))
+
+
 def with_clean_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.withColumn(text_col, strip(text_col))
 

@@ -24,11 +24,17 @@ DOCUMENTS_SCHEMA = T.StructType([
 ])
 
 
-def read_documents_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_documents_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                          spread: int | None = None) -> DataFrame:
+    """File stream of documents. ``spread``: round-robin the rows of each
+    micro-batch over that many tasks -- for sources whose files are few and
+    large (one task per file otherwise); with many files per trigger leave
+    it None (no extra shuffle)."""
     r = spark.readStream.schema(DOCUMENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    df = r.parquet(path)
+    return df.repartition(spread) if spread else df
 
 
 def cleaned_stream(stream: DataFrame, min_exclusive: int = TRAIN_MIN_EXCLUSIVE) -> DataFrame:
