@@ -96,3 +96,21 @@ def q_bpe_novel(spark, sf_dir):
     """Trained vocabulary minus specials minus the English base vocabulary."""
     m = training.trained_model(spark, sf_dir)
     return vocab.novel_tokens(m.vocab, base_vocab(spark, sf_dir))
+
+
+@register("bpe_token_ids")
+def q_bpe_token_ids(spark, sf_dir):
+    """Token <-> id mapping: the example sentences' BPE tokens with their ids
+    (join on the vocabulary table; unknown tokens map to the unk id)."""
+    m = training.trained_model(spark, sf_dir)
+    s = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True), n=None, max_chars=None)
+    firsts = corpus.first_n_per_group(s, metrics.EXAMPLES_PER_LANG, "lang", "doc_id")
+    sent = firsts.select("doc_id", "lang", text.example_sentence(F.col("text")).alias("sentence"))
+    occ = sent.select("doc_id", "lang", F.posexplode(encode.model_split(F.col("sentence"))).alias("i", "piece"))
+    enc = encode.encode_pieces(occ.select("piece").distinct(), m)
+    toks = (occ.join(enc, "piece").select("doc_id", "lang", "i", F.posexplode("tokens").alias("j", "token")))
+    ids = toks.join(m.vocab.select("token", "id"), "token", "left")
+    return (ids.groupBy("doc_id", "lang")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "id"))),
+                                          lambda x: x["id"].cast("string")), " ").alias("ids"),
+                 F.count(F.lit(1)).cast("bigint").alias("n_tokens")))

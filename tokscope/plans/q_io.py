@@ -123,3 +123,29 @@ FROM r LEFT JOIN f ON r.model = f.model AND r.lang_code = f.lang_code
 
 ORACLE["results_json_roundtrip"] = _results_json_sql()
 ORACLE["vocab_table_roundtrip"] = ORACLE["vocab_extend"]
+
+
+@register("merged_results_csv")
+def q_merged_results(spark, sf_dir):
+    """All models' result rows written as one merged CSV table and read back."""
+    path = scratch_path(spark, "merged-results")
+    results_table(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return spark.read.schema(rsrc.RESULTS_SCHEMA).option("header", True).csv(path)
+
+
+ORACLE["merged_results_csv"] = R_SQL
+
+
+@register("processed_text_roundtrip")
+def q_processed_text(spark, sf_dir):
+    """Pre-tokenized training lines written as a text file and read back."""
+    from tokscope.plans.q_corpus import q_processed_lines
+    path = scratch_path(spark, "processed-text")
+    files.write_text_lines(q_processed_lines(spark, sf_dir), path, col="processed", partition_by=None)
+    back = rsrc.read_text_lines(spark, path)
+    return back.groupBy(F.col("line").alias("processed")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+ORACLE["processed_text_roundtrip"] = (
+    "SELECT processed, CAST(count(*) AS BIGINT) AS n FROM (" + __import__("tokscope.plans.oracle", fromlist=["ORACLE"]).ORACLE["processed_lines"]
+    + ") GROUP BY processed")
