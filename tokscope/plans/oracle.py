@@ -175,4 +175,4 @@ ORACLE["evaluate_indic"] = evaluate_sql(indic=True)
 
 def oracle_sql() -> dict[str, str]:
     import tokscope.plans.catalog  # noqa: F401  (registers every query group)
-    return dict(ORACLE)
+    return {k: v for k, v in ORACLE.items() if v}
