@@ -71,6 +71,15 @@ def q_evaluate_indic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evaluate(spark, sf_dir, indic=True)
 
 
+@register("evaluate_reference_sample")
+def q_evaluate_reference_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's evaluation setup (its sampling feature): the first
+    1000 kept documents per language, each cut to 2000 code points, and the
+    continuation rate over the first 200 of them; Indic view."""
+    docs = corpus.documents(spark, sf_dir, indic=True)
+    return evaluation.evaluate(spark, docs, SQL_MODELS, ref_model="script")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -119,29 +119,36 @@ def model_sql() -> dict[str, tuple[str, str]]:
     }
 
 
-def evaluate_sql(indic: bool = False, ref: str = "script") -> str:
+def evaluate_sql(indic: bool = False, ref: str = "script", n: int | None = None,
+                 max_chars: int | None = None, cont_docs: int | None = None) -> str:
     models = model_sql()
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn "
+              f"FROM ({clean_sql(indic, max_chars=max_chars)})")
+    sample = ranked if n is None else f"SELECT * FROM ({ranked}) WHERE rn <= {n}"
+    in_cont = "true" if cont_docs is None else f"rn <= {cont_docs}"
     branches = []
     for m, (tok, pieces) in models.items():
         branches.append(f"""SELECT {q(m)} AS model, doc_id, lang, n_words, n_bytes, n_ref_tok, toks,
-              CAST(len(list_filter(ws, lambda w: {pieces} > 1)) AS BIGINT) AS cont_split
+              CASE WHEN in_cont THEN CAST(len(list_filter(ws, lambda w: {pieces} > 1)) AS BIGINT) ELSE 0 END AS cont_split,
+              CASE WHEN in_cont THEN n_words ELSE 0 END AS cont_words
             FROM (SELECT *, {tok} AS toks FROM d)""")
     union = "\nUNION ALL\n".join(branches)
     return f"""
-WITH s AS ({clean_sql(indic)}),
-d AS (SELECT doc_id, lang, text, regexp_extract_all(text, {q(WORD)}) AS ws,
+WITH s AS ({sample}),
+d AS (SELECT doc_id, lang, text, {in_cont} AS in_cont, regexp_extract_all(text, {q(WORD)}) AS ws,
         CAST(len(regexp_extract_all(text, {q(WORD)})) AS BIGINT) AS n_words,
         CAST(strlen(text) AS BIGINT) AS n_bytes,
         CAST(len({models[ref][0]}) AS BIGINT) AS n_ref_tok FROM s),
 m AS ({union}),
-c AS (SELECT model, lang, n_words, n_bytes, n_ref_tok, cont_split,
+c AS (SELECT model, lang, n_words, n_bytes, n_ref_tok, cont_split, cont_words,
         CAST(len(toks) AS BIGINT) AS n_tok,
         CAST(coalesce(list_sum(list_transform(toks, lambda x: length(ltrim(x, {q(LEN_MARKERS)})))), 0) AS BIGINT) AS len_sum
       FROM m),
 a AS (SELECT model, lang, CAST(count(*) AS INTEGER) AS n_docs,
         CAST(sum(n_words) AS BIGINT) AS n_words, CAST(sum(n_tok) AS BIGINT) AS n_tokens,
         CAST(sum(n_bytes) AS BIGINT) AS n_bytes, CAST(sum(n_ref_tok) AS BIGINT) AS n_ref,
-        CAST(sum(len_sum) AS BIGINT) AS len_sum, CAST(sum(cont_split) AS BIGINT) AS cont_split
+        CAST(sum(len_sum) AS BIGINT) AS len_sum, CAST(sum(cont_split) AS BIGINT) AS cont_split,
+        CAST(sum(cont_words) AS BIGINT) AS cont_words
       FROM c GROUP BY model, lang),
 fc AS (SELECT DISTINCT model, substring(ltrim(tok, {q(COV_MARKERS)}), 1, 1) AS ch
        FROM (SELECT model, unnest(toks) AS tok FROM m) WHERE length(ltrim(tok, {q(COV_MARKERS)})) > 0),
@@ -156,7 +163,7 @@ covr AS (SELECT cov.model, cov.lang_code, {div('n_covered', 'n_assigned')} AS vo
 SELECT a.lang AS lang_code, coalesce(lm.lang_name, a.lang) AS lang_name,
        coalesce(lm.script, 'Unknown') AS script, a.n_docs, a.n_words, a.n_tokens,
        {div('a.n_tokens', 'a.n_words')} AS fertility,
-       {div('a.cont_split', 'a.n_words')} AS continuation_rate,
+       {div('a.cont_split', 'a.cont_words')} AS continuation_rate,
        {div('a.n_bytes', 'a.n_tokens')} AS bytes_per_token,
        CAST(0.0 AS DOUBLE) AS unk_rate,
        CAST(coalesce(covr.vocab_coverage, 0.0) AS DOUBLE) AS vocab_coverage,

@@ -14,6 +14,11 @@ from tokscope.plans.oracle import (NON_WS, ORACLE, PRETOK, WORD, clean_sql, div,
 from tokscope.sources import corpus
 
 
+from tokscope.plans.oracle import evaluate_sql  # noqa: E402
+
+ORACLE["evaluate_reference_sample"] = evaluate_sql(indic=True, n=1000, max_chars=2000, cont_docs=200)
+
+
 # ---------------------------------------------------------------- samples ---
 @register("sample_eval")
 def q_sample_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
