@@ -42,3 +42,25 @@ def test_render_default(spark):
 def test_render_no_truncation_with_prompt(spark):
     _check(spark, truncate_history_thinking=False, add_generation_prompt=True, enable_thinking=True)
     _check(spark, truncate_history_thinking=True, add_generation_prompt=True, enable_thinking=False)
+
+
+TOOLS = [{"name": "get_weather", "description": " Weather now ",
+          "parameters": {"properties": {"city": {"type": "string", "description": "City \"name\"", "enum": ["Pune", "Kochi"]},
+                                        "days": {"type": "integer"}},
+                         "required": ["city"]}},
+         {"name": "noop", "parameters": {"properties": {}}}]
+TOOLS_SCHEMA = ("conv_id long, tools array<struct<name:string,description:string,parameters:array<struct<"
+                "name:string,type:string,description:string,enum:array<string>>>,required:array<string>>>")
+
+
+def test_tools_preamble(spark):
+    rows = []
+    for t in TOOLS:
+        params = [(k, v.get("type"), v.get("description"), v.get("enum"))
+                  for k, v in t["parameters"]["properties"].items()]
+        rows.append((t["name"], t.get("description"), params, t["parameters"].get("required")))
+    tools = spark.createDataFrame([(1, rows), (3, rows)], TOOLS_SCHEMA)
+    got = {r["conv_id"]: r["text"] for r in chat.render(_df(spark), tools=tools).collect()}
+    for cid in (1, 3):
+        assert got[cid] == render_chat(CONVS[cid], tools=TOOLS), cid
+    assert got[2] == render_chat(CONVS[2])

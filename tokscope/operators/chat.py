@@ -155,6 +155,13 @@ def system_headers(msgs: DataFrame, tools: DataFrame | None = None) -> DataFrame
                                         _lit(IM_END)).alias("header"))
 
 
+def json_string_list(arr: Column) -> Column:
+    """A string array as JSON text with ``", "`` separators (the template's
+    ``tojson`` is Python's ``json.dumps`` with default separators)."""
+    quoted = F.transform(arr, lambda x: F.regexp_extract(F.to_json(F.array(x)), r"^\[(.*)\]$", 1))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def tools_preamble(tools: DataFrame) -> DataFrame:
     """conv_id, preamble from ``tools(conv_id, tools ARRAY<STRUCT<name,
     description, parameters ARRAY<STRUCT<name, type, description, enum
@@ -165,7 +172,7 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
             F.when(p["type"].isNotNull(), F.concat(_lit("\n<type>"), p["type"], _lit("</type>"))).otherwise(_lit("")),
             F.when(p["description"].isNotNull(),
                    F.concat(_lit("\n<description>"), strip(p["description"]), _lit("</description>"))).otherwise(_lit("")),
-            F.when(p["enum"].isNotNull(), F.concat(_lit("\n<enum>"), F.to_json(p["enum"]), _lit("</enum>"))).otherwise(_lit("")),
+            F.when(p["enum"].isNotNull(), F.concat(_lit("\n<enum>"), json_string_list(p["enum"]), _lit("</enum>"))).otherwise(_lit("")),
             _lit("\n</parameter>"))
 
     def fn(t):
@@ -176,7 +183,7 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
             _lit("\n<parameters>"),
             F.array_join(F.transform(F.coalesce(t["parameters"], F.array()), param), ""),
             F.when(t["required"].isNotNull(),
-                   F.concat(_lit("\n<required>"), F.to_json(t["required"]), _lit("</required>"))).otherwise(_lit("")),
+                   F.concat(_lit("\n<required>"), json_string_list(t["required"]), _lit("</required>"))).otherwise(_lit("")),
             _lit("\n</parameters>\n</function>"))
 
     body = F.array_join(F.transform(F.col("tools"), fn), "")
