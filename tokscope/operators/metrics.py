@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions import langmeta
-from tokscope.functions.text import (WS, UNK_TOKEN, example_sentence, first_char, grade_eval,
-                                     grade_train, n_bytes, n_words, safe_div,
-                                     strip_length_markers, token_preview, words)
+from tokscope.functions.text import (WS, example_sentence, grade_eval, grade_train, n_bytes, n_words,
+                                     safe_div, token_preview, words)
 from tokscope.operators.tokenizers import TOKENIZERS
 from tokscope.sources.corpus import first_n_per_group
 
@@ -41,13 +40,6 @@ def continuation_flags(sample: DataFrame, cont_docs: int | None = CONT_DOCS) ->
     return keys.select("doc_id", F.lit(True).alias("in_cont"))
 
 
-def _token_len_sum(toks, unk: str | None):
-    keep = toks if unk is None else F.filter(toks, lambda x: x != F.lit(unk))
-    return (F.aggregate(keep, F.lit(0).cast("bigint"),
-                        lambda acc, x: acc + F.length(strip_length_markers(x)).cast("bigint")),
-            F.size(keep).cast("bigint"))
-
-
 def _zero():
     return F.lit(0).cast("bigint")
 
@@ -234,7 +226,3 @@ def examples(spark: SparkSession, sample: DataFrame, model: str = "script",
         F.size(toks).cast("bigint").alias("n_tokens"),
         n_words(sent).alias("n_words"),
         (F.size(toks) / F.greatest(F.lit(1), F.size(words(sent)))).alias("local_fertility"))
-
-
-def unk_counts(tokens_col, unk: str = UNK_TOKEN):
-    return F.size(F.filter(tokens_col, lambda x: x == F.lit(unk))).cast("bigint")

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions import pretok, text
-from tokscope.operators import metrics
 from tokscope.operators.tokenizers import SQL_MODELS
 from tokscope.plans import evaluation
 from tokscope.sources import corpus

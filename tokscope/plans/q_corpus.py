@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from tokscope.functions import langmeta, pretok, text
 from tokscope.operators import metrics
-from tokscope.plans import evaluation
 from tokscope.plans.catalog import register
-from tokscope.plans.oracle import (NON_WS, ORACLE, PRETOK, WORD, clean_sql, div, docs_sql,
+from tokscope.plans.oracle import (NON_WS, ORACLE, PRETOK, WORD, clean_sql, docs_sql,
                                    grade_train_sql, q, strip_sql)
 from tokscope.sources import corpus
 

@@ -10,7 +10,7 @@ from tokscope.operators import metrics, vocab
 from tokscope.operators.tokenizers import SQL_MODELS
 from tokscope.plans import q_corpus, q_vocab
 from tokscope.plans.catalog import register
-from tokscope.plans.oracle import ORACLE, WORD, clean_sql, model_sql, q, strip_sql, docs_sql
+from tokscope.plans.oracle import ORACLE, clean_sql, docs_sql, model_sql, q, strip_sql
 from tokscope.plans.q_compare import R_SQL, results_table
 from tokscope.session import scratch_path
 from tokscope.sinks import files

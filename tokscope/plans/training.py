@@ -5,7 +5,6 @@ later queries of the session."""
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from tokscope.operators import bpe
 from tokscope.session import scratch_path
