@@ -60,3 +60,23 @@ def test_vocab_layout(spark):
     v = {r["token"]: r["id"] for r in m.vocab.collect()}
     assert [v[t] for t in ["[UNK]", "[PAD]", "[BOS]", "[EOS]"]] == [0, 1, 2, 3]
     assert v["a"] == 4 and v["b"] == 5 and v["ab"] == 6
+
+
+def test_encode_documents_brute_force(spark):
+    from reference_impl import model_split, pretokenize
+    from tokscope.operators.encode import encode_documents
+    docs = [(1, "eng", "the cat sat on the mat, the end"), (2, "eng", "that hat... then these"),
+            (3, "eng", "zebra quiz")]
+    words = {}
+    for _, _, t in docs[:2]:
+        for p in model_split(" ".join(pretokenize(t))):
+            words[p] = words.get(p, 0) + 1
+    m = bpe.train(spark.createDataFrame(list(words.items()), "word string, freq bigint"),
+                  min_frequency=2, max_merges=6)
+    ranks = {p: i for i, p in enumerate(m.merge_list)}
+    alphabet = set("".join(words))
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: (r["n_tokens"], r["n_unk"], r["n_words"]) for r in encode_documents(df, m).collect()}
+    for did, _, t in docs:
+        toks = [x for p in model_split(" ".join(pretokenize(t))) for x in encode_word(p, ranks, alphabet)]
+        assert got[did] == (len(toks), toks.count("[UNK]"), len(t.split())), did
