@@ -64,3 +64,11 @@ def test_tools_preamble(spark):
     for cid in (1, 3):
         assert got[cid] == render_chat(CONVS[cid], tools=TOOLS), cid
     assert got[2] == render_chat(CONVS[2])
+
+
+def test_long_conversation_chunked_concat(spark):
+    msgs = [{"role": "user" if i % 2 == 0 else "assistant", "content": f"m{i} <think>r</think>x" if i % 7 == 3 else f"m{i}"}
+            for i in range(601)]
+    rows = [(9, t, m["role"], m["content"], None, None) for t, m in enumerate(msgs)]
+    got = chat.render(spark.createDataFrame(rows, SCHEMA)).first()["text"]
+    assert got == render_chat(msgs)

@@ -21,6 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokscope.functions.text import strip
+from tokscope.operators.joins import salted_join
+
+CHUNK_TURNS = 256  # turns concatenated per task before the per-conversation concat
 
 # --- fixed values: template markup -------------------------------------------
 IM_START = "<|im_start|>"
@@ -92,7 +95,8 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
     args_type = msgs.schema["tool_calls"].dataType.elementType["arguments"].dataType
     args_are_map = args_type.typeName() == "map"
     facts = conversation_facts(msgs)
-    m = _neighbour_roles(msgs).join(facts, "conv_id")
+    # one conversation may hold a large share of all messages: salt the join
+    m = salted_join(_neighbour_roles(msgs), facts, ["conv_id"], F.col("turn"))
     has_sys = F.col("first_role") == "system"
     offset = F.when(has_sys, 1).otherwise(0)
     idx = F.col("turn") - offset                     # index inside the loop
@@ -195,9 +199,15 @@ def render(msgs: DataFrame, truncate_history_thinking: bool = True, add_generati
            enable_thinking: bool = True, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, text: the whole rendered conversation."""
     segs = render_segments(msgs, truncate_history_thinking)
-    body = segs.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "segment"))),
-                                 lambda x: x["segment"]), "").alias("body"))
+
+    def ordered_concat(df, key, col):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, col))),
+                                        lambda x: x[col]), "")
+
+    # two levels: chunks of CHUNK_TURNS turns, then the chunks of a conversation
+    chunks = (segs.withColumn("chunk", F.floor(F.col("turn") / CHUNK_TURNS))
+              .groupBy("conv_id", "chunk").agg(ordered_concat(None, "turn", "segment").alias("part")))
+    body = chunks.groupBy("conv_id").agg(ordered_concat(None, "chunk", "part").alias("body"))
     gen = (GEN_PROMPT_THINKING if enable_thinking else GEN_PROMPT_NO_THINKING) if add_generation_prompt else ""
     return (system_headers(msgs, tools).join(body, "conv_id", "left")
             .select("conv_id", F.concat("header", F.coalesce("body", _lit("")), _lit(gen)).alias("text")))
