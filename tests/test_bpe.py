@@ -80,3 +80,36 @@ def test_encode_documents_brute_force(spark):
     for did, _, t in docs:
         toks = [x for p in model_split(" ".join(pretokenize(t))) for x in encode_word(p, ranks, alphabet)]
         assert got[did] == (len(toks), toks.count("[UNK]"), len(t.split())), did
+
+
+def test_bpe_metric_rows_brute_force(spark):
+    from pyspark.sql import functions as F
+    from reference_impl import model_split, pretokenize
+    from tokscope.operators import encode, metrics
+    from tokscope.operators.tokenizers import TOKENIZERS
+    docs = [(1, "eng", "the cat sat on the mat, the end."), (2, "eng", "that hat... then these zebras"),
+            (3, "hin", "नमस्ते दुनिया, नमस्ते।")]
+    words = {}
+    for _, _, t in docs:
+        for p in model_split(" ".join(pretokenize(t))):
+            words[p] = words.get(p, 0) + 1
+    m = bpe.train(spark.createDataFrame(list(words.items()), "word string, freq bigint"),
+                  min_frequency=2, max_merges=8)
+    ranks = {p: i for i, p in enumerate(m.merge_list)}
+    alphabet = set("".join(words))
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    wc = metrics.word_counts(df, cont_docs=None)
+    stats = encode.bpe_word_stats(wc, m, TOKENIZERS["script"].pieces(F.col("word")).cast("bigint"))
+    got = {r["lang"]: r for r in metrics.aggregate_word_stats(stats, metrics.doc_level(wc)).collect()}
+    for lang in ("eng", "hin"):
+        texts = [t for _, l, t in docs if l == lang]
+        toks = [x for t in texts for p in model_split(t) for x in encode_word(p, ranks, alphabet)]
+        split = sum(1 for t in texts for w in t.split()
+                    if sum(len(encode_word(p, ranks, alphabet)) for p in model_split(w)) > 1)
+        r = got[lang]
+        assert r["n_tokens"] == len(toks)
+        assert r["n_unk"] == toks.count("[UNK]")
+        assert r["cont_split"] == split
+        kept = [len(x.lstrip("▁Ġ#Ċ<>[]")) for x in toks if x != "[UNK]"]
+        assert r["len_sum"] == sum(kept)
+        assert r["avg_token_len"] == (sum(kept) / len(kept) if kept else 0.0)

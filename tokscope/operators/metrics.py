@@ -106,7 +106,8 @@ def aggregate_word_stats(stats: DataFrame, docs: DataFrame) -> DataFrame:
         F.sum(c * F.col("pieces")).cast("bigint").alias("n_tokens"),
         F.sum(c * F.col("ref_pieces")).cast("bigint").alias("n_ref_tokens"),
         F.sum(c * F.col("len_sum")).cast("bigint").alias("len_sum"),
-        F.sum(c * F.col("pieces")).cast("bigint").alias("len_n"),
+        # token lengths skip unknown tokens entirely (numerator and count)
+        F.sum(c * (F.col("pieces") - F.col("n_unk"))).cast("bigint").alias("len_n"),
         F.sum(c * F.col("n_unk")).cast("bigint").alias("n_unk"),
         F.sum(F.when(cont & (F.col("pieces") > 1), c).otherwise(z)).cast("bigint").alias("cont_split"),
         F.sum(F.when(cont, c).otherwise(z)).cast("bigint").alias("cont_words"))
