@@ -90,7 +90,7 @@ def test_bpe_metric_rows_brute_force(spark):
     docs = [(1, "eng", "the cat sat on the mat, the end."), (2, "eng", "that hat... then these zebras"),
             (3, "hin", "नमस्ते दुनिया, नमस्ते।")]
     words = {}
-    for _, _, t in docs:
+    for _, _, t in docs[:2]:  # Devanagari stays outside the alphabet -> [UNK]
         for p in model_split(" ".join(pretokenize(t))):
             words[p] = words.get(p, 0) + 1
     m = bpe.train(spark.createDataFrame(list(words.items()), "word string, freq bigint"),
