@@ -52,9 +52,13 @@ def word_frequencies(docs: DataFrame, text_col: str = "text", pretokenize: bool
     Counting pre-tokens first (partial aggregation) and splitting only the
     distinct ones gives the same table with far fewer regex calls.
     """
-    src = pretokens(text_col) if pretokenize else F.split(F.col(text_col), r"\s+")
-    pt = (docs.select(F.explode(src).alias("pt")).groupBy("pt")
-          .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    if pretokenize:
+        from tokscope.operators.vocab import pretoken_frequencies
+        pt = pretoken_frequencies(docs, text_col).select(F.col("token").alias("pt"), F.col("freq").alias("n"))
+    else:
+        from tokscope.functions.text import WS
+        pt = (docs.select(F.explode(F.split(F.col(text_col), f"{WS}+")).alias("pt")).where(F.col("pt") != "")
+              .groupBy("pt").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
     return (pt.select(F.explode(model_split("pt")).alias("word"), "n")
             .groupBy("word").agg(F.sum("n").cast("bigint").alias("freq")))
 

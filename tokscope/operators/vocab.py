@@ -43,6 +43,21 @@ def dense_ids(df: DataFrame, order_col: str, id_col: str = "id", start: int = 0)
             .drop("_pid", "_mid", "_off"))
 
 
+def pretoken_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """token, freq: script pre-token frequencies of a corpus.
+
+    Pre-tokens never cross whitespace, so whitespace words are counted first
+    (partial aggregation combines hot words map-side) and only the distinct
+    words are pre-tokenized; their counts are then summed per pre-token.
+    """
+    from tokscope.functions.pretok import pretokens
+    from tokscope.functions.text import WS
+    w = (docs.select(F.explode(F.split(F.col(text_col), f"{WS}+")).alias("w")).where(F.col("w") != "")
+         .groupBy("w").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    return (w.select(F.explode(pretokens("w")).alias("token"), "n")
+            .groupBy("token").agg(F.sum("n").cast("bigint").alias("freq")))
+
+
 def token_frequencies(tokens: DataFrame, col: str = "token") -> DataFrame:
     """token, freq: partial aggregation combines hot tokens map-side."""
     return tokens.groupBy(col).agg(F.count(F.lit(1)).cast("bigint").alias("freq"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions import langmeta, pretok, text
-from tokscope.operators import metrics
+from tokscope.operators import metrics, vocab
 from tokscope.plans.catalog import register
 from tokscope.plans.oracle import (NON_WS, ORACLE, PRETOK, WORD, clean_sql, docs_sql,
                                    grade_train_sql, q, strip_sql)
@@ -138,8 +138,7 @@ FROM t GROUP BY ALL
 def q_pretoken_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-token frequency table over the whole corpus (Indic view)."""
     docs = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True), n=None, max_chars=None)
-    return (docs.select(F.explode(pretok.pretokens("text")).alias("token"))
-            .groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("freq")))
+    return vocab.pretoken_frequencies(docs)
 
 
 ORACLE["pretoken_freq"] = f"""
