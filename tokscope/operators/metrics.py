@@ -75,7 +75,7 @@ def word_counts(sample: DataFrame, cont_docs: int | None = CONT_DOCS) -> DataFra
 def doc_level(wc: DataFrame) -> DataFrame:
     """lang, n_docs, n_bytes (UTF-8 bytes include whitespace) from the NULL rows."""
     return (wc.where(F.col("word").isNull()).groupBy("lang")
-            .agg(F.sum("cnt").cast("int").alias("n_docs"), F.sum("n_bytes").cast("bigint").alias("n_bytes")))
+            .agg(F.sum("cnt").cast("bigint").alias("n_docs"), F.sum("n_bytes").cast("bigint").alias("n_bytes")))
 
 
 def word_model_stats(wc: DataFrame, models: list[str], ref_model: str = "script") -> DataFrame:

@@ -144,7 +144,7 @@ c AS (SELECT model, lang, n_words, n_bytes, n_ref_tok, cont_split, cont_words,
         CAST(len(toks) AS BIGINT) AS n_tok,
         CAST(coalesce(list_sum(list_transform(toks, lambda x: length(ltrim(x, {q(LEN_MARKERS)})))), 0) AS BIGINT) AS len_sum
       FROM m),
-a AS (SELECT model, lang, CAST(count(*) AS INTEGER) AS n_docs,
+a AS (SELECT model, lang, CAST(count(*) AS BIGINT) AS n_docs,
         CAST(sum(n_words) AS BIGINT) AS n_words, CAST(sum(n_tok) AS BIGINT) AS n_tokens,
         CAST(sum(n_bytes) AS BIGINT) AS n_bytes, CAST(sum(n_ref_tok) AS BIGINT) AS n_ref,
         CAST(sum(len_sum) AS BIGINT) AS len_sum, CAST(sum(cont_split) AS BIGINT) AS cont_split,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 RESULTS_SCHEMA = T.StructType([
     T.StructField("lang_code", T.StringType()), T.StructField("lang_name", T.StringType()),
-    T.StructField("script", T.StringType()), T.StructField("n_docs", T.IntegerType()),
+    T.StructField("script", T.StringType()), T.StructField("n_docs", T.LongType()),
     T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType()),
     T.StructField("fertility", T.DoubleType()), T.StructField("continuation_rate", T.DoubleType()),
     T.StructField("bytes_per_token", T.DoubleType()), T.StructField("unk_rate", T.DoubleType()),
