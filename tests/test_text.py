@@ -17,11 +17,13 @@ def _rand_strings(n=200, seed=7):
 def test_strip_and_words_match_python(spark):
     data = SAMPLES + _rand_strings()
     df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
-    rows = df.select("i", T.strip("s").alias("st"), T.words("s").alias("w")).collect()
+    rows = df.select("i", T.strip("s").alias("st"), T.words("s").alias("w"),
+                     T.n_words_stripped(T.strip("s")).alias("n")).collect()
     for r in rows:
         s = data[r["i"]]
         assert r["st"] == s.strip(), repr(s)
         assert list(r["w"]) == s.split(), repr(s)
+        assert r["n"] == len(s.split()), repr(s)
 
 
 def test_null_text_is_empty(spark):

@@ -39,7 +39,7 @@ def _whole_clean(spark: SparkSession, sf_dir: str, indic: bool = False) -> DataF
 def q_fertility_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _whole_clean(spark, sf_dir)
     per_doc = s.select(
-        "lang", text.n_words("text").alias("w"),
+        "lang", text.n_words_stripped("text").alias("w"),
         F.size(pretok.pretokens("text")).cast("bigint").alias("t"),
         text.n_bytes("text").alias("b"), text.n_chars("text").alias("c"))
     agg = per_doc.groupBy("lang").agg(

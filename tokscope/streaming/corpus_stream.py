@@ -46,7 +46,7 @@ def cleaned_stream(stream: DataFrame, min_exclusive: int = TRAIN_MIN_EXCLUSIVE)
 
 def running_stats(stream: DataFrame) -> DataFrame:
     """Per-language running sums over a (cleaned) document stream."""
-    per_doc = stream.select("lang", text.n_words("text").alias("w"),
+    per_doc = stream.select("lang", text.n_words_stripped("text").alias("w"),
                             F.size(pretok.pretokens("text")).cast("bigint").alias("t"),
                             text.n_bytes("text").alias("b"))
     return per_doc.groupBy("lang").agg(
