@@ -38,3 +38,15 @@ def test_vocab_algebra(spark):
         spark.createDataFrame([("a", 0), ("b", 1)], "token string, id bigint"),
         vocab.novel_tokens(new, base)).collect()}
     assert ext == {"a": 0, "b": 1, "c": 2, "d": 3}
+
+
+def test_salted_join_equals_plain_join(spark):
+    from tokscope.operators.joins import salted_join
+    big = spark.range(0, 5000, numPartitions=6).select(
+        F.col("id").alias("doc"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"))
+    small = spark.createDataFrame([("hot", 1)] + [(str(i), i) for i in range(40)], "k string, v int")
+    exp = sorted(tuple(r) for r in big.join(small, "k").select("doc", "k", "v").collect())
+    got = sorted(tuple(r) for r in salted_join(big, small, ["k"], F.col("doc"), buckets=7).select("doc", "k", "v").collect())
+    assert got == exp
+    left = sorted(tuple(r) for r in salted_join(big, small, ["k"], F.col("doc"), how="left").select("doc", "k", "v").collect())
+    assert left == sorted(tuple(r) for r in big.join(small, "k", "left").select("doc", "k", "v").collect())
