@@ -72,3 +72,13 @@ def test_long_conversation_chunked_concat(spark):
     rows = [(9, t, m["role"], m["content"], None, None) for t, m in enumerate(msgs)]
     got = chat.render(spark.createDataFrame(rows, SCHEMA)).first()["text"]
     assert got == render_chat(msgs)
+
+
+def test_turn_numbers_may_have_gaps(spark):
+    """Neighbours are found by position, so turns 0, 2, 4, ... render like 0, 1, 2, ..."""
+    df = _df(spark)
+    gaps = df.withColumn("turn", df.turn * 2 + 3)
+    for kw in ({}, {"truncate_history_thinking": False}):
+        got = {r.conv_id: r.text for r in chat.render(gaps, **kw).collect()}
+        assert got == {r.conv_id: r.text for r in chat.render(df, **kw).collect()}
+        assert got == {cid: render_chat(msgs, **kw) for cid, msgs in CONVS.items()}

@@ -40,11 +40,6 @@ LANG_META = [
 # languages of the smaller ("unverified") subset
 UNVERIFIED_CODES = ["asm", "ben", "guj", "hin", "kan", "mal", "mar", "nep",
                     "ori", "pan", "san", "tam", "tel", "urd"]
-# languages requested for training (as listed; two codes differ from the
-# evaluation map: kok vs gom, ory vs ori)
-TRAIN_CODES = ["asm", "ben", "brx", "doi", "guj", "hin", "kan", "kas", "kok",
-               "mai", "mal", "mar", "mni", "nep", "ory", "pan", "san", "sat",
-               "snd", "tam", "tel", "urd"]
 # ---------------------------------------------------------------------------
 
 # Extra rows for the languages present in the driver's test corpus

@@ -37,7 +37,6 @@ UNK_TOKEN = "[UNK]"
 # Fertility bands.
 GRADE_EXCELLENT, GRADE_GOOD, GRADE_MARGINAL, GRADE_POOR = (
     "Excellent", "Good", "Marginal", "Poor")
-GRADE_ORDER = [GRADE_EXCELLENT, GRADE_GOOD, GRADE_MARGINAL, GRADE_POOR]
 # Grade labels used by the per-model grade counts (comparison report).
 GRADE_B_LABELS = ["Excellent (<1.5)", "Good (1.5-2.5)", "Marginal (2.5-4.0)", "Poor (>4.0)"]
 

@@ -17,11 +17,10 @@ conversation is the ordered concatenation of its segments.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokscope.functions.text import strip
-from tokscope.operators.joins import salted_join
 
 CHUNK_TURNS = 256  # turns concatenated per task before the per-conversation concat
 
@@ -54,19 +53,16 @@ def _lit(s: str) -> Column:
     return F.lit(s)
 
 
-def conversation_facts(msgs: DataFrame) -> DataFrame:
-    """conv_id, first_role, last_user_turn (-1 if none), last_turn."""
-    return msgs.groupBy("conv_id").agg(
-        F.min_by("role", "turn").alias("first_role"),
-        F.coalesce(F.max(F.when(F.col("role") == "user", F.col("turn"))), F.lit(-1)).alias("last_user_turn"),
-        F.max("turn").alias("last_turn"))
-
-
-def _neighbour_roles(msgs: DataFrame) -> DataFrame:
-    roles = msgs.select("conv_id", "turn", "role")
-    prev = roles.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("prev_role"))
-    nxt = roles.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"))
-    return msgs.join(prev, ["conv_id", "turn"], "left").join(nxt, ["conv_id", "turn"], "left")
+def positions(msgs: DataFrame) -> DataFrame:
+    """p_conv, p_turn, pos (0, 1, ... by turn, whatever gaps the numbers have), prev_role, next_role, first_role, last_user
+    (position of the last user message, -1 if none). Only conv_id, turn and role pass through the window."""
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    narrow = msgs.select("conv_id", "turn", "role").withColumn("pos", F.row_number().over(order) - 1)
+    return narrow.select(
+        F.col("conv_id").alias("p_conv"), F.col("turn").alias("p_turn"), "pos", F.lag("role").over(order).alias("prev_role"),
+        F.lead("role").over(order).alias("next_role"), F.first("role").over(whole).alias("first_role"),
+        F.coalesce(F.max(F.when(F.col("role") == "user", F.col("pos"))).over(whole), F.lit(-1)).alias("last_user"))
 
 
 def _tool_call_blocks(tool_calls: Column, args_are_map: bool) -> Column:
@@ -94,15 +90,12 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
             "array<struct<name:string,arguments:array<struct<key:string,value:string>>>>"))
     args_type = msgs.schema["tool_calls"].dataType.elementType["arguments"].dataType
     args_are_map = args_type.typeName() == "map"
-    facts = conversation_facts(msgs)
-    # one conversation may hold a large share of all messages: salt the join
-    m = salted_join(_neighbour_roles(msgs), facts, ["conv_id"], F.col("turn"))
+    p = positions(msgs)
+    # two columns spread a long conversation over many tasks
+    m = msgs.join(p, (F.col("conv_id") == F.col("p_conv")) & (F.col("turn") == F.col("p_turn"))).drop("p_conv", "p_turn")
     has_sys = F.col("first_role") == "system"
-    offset = F.when(has_sys, 1).otherwise(0)
-    idx = F.col("turn") - offset                     # index inside the loop
-    last_user_idx = F.when(F.col("last_user_turn") < 0, -1).otherwise(F.col("last_user_turn") - offset)
-    in_loop = ~(has_sys & (F.col("turn") == 0))
-    truncated = F.lit(truncate_history_thinking) & (idx < last_user_idx)
+    in_loop = ~(has_sys & (F.col("pos") == 0))
+    truncated = F.lit(truncate_history_thinking) & (F.col("pos") < F.col("last_user"))
 
     raw = F.coalesce(F.col("text"), _lit(""))
     reasoning_ok = F.col("reasoning").isNotNull() & (F.length(strip(F.col("reasoning"))) > 0)
@@ -124,16 +117,13 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
     # assistant without tool calls
     trunc_c = strip(F.when(content.contains(THINK_OPEN) & content.contains(THINK_CLOSE),
                            F.concat(_lit(EMPTY_THINK), after_close)).otherwise(content))
-    plain = F.when(~truncated, F.concat(_lit(IM_START + "assistant\n"), strip(content), _lit(IM_END))) \
-        .when(F.length(trunc_c) > 0, F.concat(_lit(IM_START + "assistant\n"), trunc_c, _lit(IM_END))) \
-        .otherwise(_lit(IM_START + "assistant\n" + IM_END))
+    plain = F.concat(_lit(IM_START + "assistant\n"), F.when(truncated, trunc_c).otherwise(strip(content)), _lit(IM_END))
     has_calls = F.col("tool_calls").isNotNull() & (F.size(F.col("tool_calls")) > 0)
     assistant = F.when(has_calls, with_tools).otherwise(plain)
     # tool responses: a block opens after a non-tool message, closes before one
-    prev_in_loop = F.col("prev_role").isNotNull() & (idx > 0)
+    prev_in_loop = F.col("pos") > F.when(has_sys, 1).otherwise(0)
     opens = F.when(prev_in_loop & (F.col("prev_role") != "tool"), _lit(IM_START + "user\n")).otherwise(_lit(""))
-    is_last = F.col("turn") == F.col("last_turn")
-    closes = F.when(is_last | (F.col("next_role") != "tool"), _lit(IM_END)).otherwise(_lit(""))
+    closes = F.when(F.col("next_role").isNull() | (F.col("next_role") != "tool"), _lit(IM_END)).otherwise(_lit(""))
     tool = F.concat(opens, _lit(TOOL_RESPONSE_OPEN), raw, _lit(TOOL_RESPONSE_CLOSE), closes)
     other = F.concat(_lit(IM_START), F.col("role"), _lit("\n"), raw, _lit(IM_END))
 

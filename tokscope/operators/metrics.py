@@ -30,7 +30,7 @@ EXAMPLES_PER_LANG = 2  # fixed value
 COUNT_COLS = ["n_tok", "n_ref_tok", "len_sum", "len_n", "n_unk", "cont_split", "cont_words"]
 
 
-def continuation_flags(sample: DataFrame, cont_docs: int | None = CONT_DOCS) -> DataFrame:
+def continuation_flags(sample: DataFrame, cont_docs: int | None = None) -> DataFrame:
     """doc_id, in_cont: the first ``cont_docs`` documents of each language
     (None: every document). Only keys move; bounded by cont_docs x languages.
     """
@@ -44,7 +44,7 @@ def _zero():
     return F.lit(0).cast("bigint")
 
 
-def word_counts(sample: DataFrame, cont_docs: int | None = CONT_DOCS) -> DataFrame:
+def word_counts(sample: DataFrame, cont_docs: int | None = None) -> DataFrame:
     """lang, in_cont, word, cnt, n_bytes: distinct whitespace words with counts.
 
     Every tokenizer here keeps its tokens inside whitespace words, so all

@@ -17,7 +17,6 @@ from tokscope.session import ensure_checkpoint_dir
 from tokscope.sources.corpus import first_n_per_group
 
 QA_SAMPLES = 10      # fixed value: samples per length bucket
-MIXED_SAMPLES = 20   # fixed value: mixed-script tokens shown
 
 
 def dense_ids(df: DataFrame, order_col: str, id_col: str = "id", start: int = 0) -> DataFrame:
@@ -137,13 +136,11 @@ def length_bucket_qa(tokens: DataFrame, k: int = QA_SAMPLES) -> DataFrame:
     return counts.join(heads, "bucket")
 
 
-def mixed_script_tokens(tokens: DataFrame, k: int = MIXED_SAMPLES) -> DataFrame:
-    """The first k mixed-script tokens (Latin letter + U+0900..U+0D7F) in
-    code-point order, with the total count of such tokens on every row
+def mixed_script_tokens(tokens: DataFrame) -> DataFrame:
+    """Every mixed-script token (Latin letter + U+0900..U+0D7F), with the total count of such tokens on every row
     (a single scalar, computed by one aggregate job)."""
     mixed = tokens.where(is_mixed_script("token")).select("token")
-    n_mixed = mixed.count()
-    return mixed.orderBy("token").limit(k).withColumn("n_mixed", F.lit(n_mixed).cast("bigint"))
+    return mixed.withColumn("n_mixed", F.lit(mixed.count()).cast("bigint"))
 
 
 def vocab_coverage(spark: SparkSession, vocab: DataFrame) -> DataFrame:

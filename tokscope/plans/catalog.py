@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions import pretok, text
+from tokscope.operators import metrics
 from tokscope.operators.tokenizers import SQL_MODELS
 from tokscope.plans import evaluation
 from tokscope.sources import corpus
@@ -76,7 +77,8 @@ def q_evaluate_reference_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     1000 kept documents per language, each cut to 2000 code points, and the
     continuation rate over the first 200 of them; Indic view."""
     docs = corpus.documents(spark, sf_dir, indic=True)
-    return evaluation.evaluate(spark, docs, SQL_MODELS, ref_model="script")
+    return evaluation.evaluate(spark, docs, SQL_MODELS, ref_model="script", n=corpus.SAMPLES_PER_LANG,
+                               max_chars=corpus.MAX_CHARS_PER_DOC, cont_docs=metrics.CONT_DOCS)
 
 
 def queries() -> dict[str, Query]:

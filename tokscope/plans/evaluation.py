@@ -11,13 +11,11 @@ from tokscope.sources import corpus
 
 
 def evaluate(spark: SparkSession, docs: DataFrame, models: list[str] | None = None,
-             ref_model: str = "script", n: int | None = corpus.SAMPLES_PER_LANG,
-             max_chars: int | None = corpus.MAX_CHARS_PER_DOC,
-             cont_docs: int = metrics.CONT_DOCS, rounded: bool = False) -> DataFrame:
+             ref_model: str = "script", n: int | None = None,
+             max_chars: int | None = None, cont_docs: int | None = None, rounded: bool = False) -> DataFrame:
     """Result rows (one per model x language) for the SQL tokenizers.
 
-    ``n``/``max_chars`` default to the reference's sample (1000 docs of at most
-    2000 code points per language); pass None to evaluate whole tables.
+    Whole tables and whole texts unless ``n``, ``max_chars`` or ``cont_docs`` ask for a sample.
     """
     models = models or SQL_MODELS
     sample = corpus.sample_eval(docs, n=n, max_chars=max_chars)

@@ -71,7 +71,7 @@ def q_bpe_encode_docs(spark, sf_dir):
 @register("bpe_fertility")
 def q_bpe_fertility(spark, sf_dir):
     """Fertility record of the trained model on its fertility sample
-    (>= 20 chars, first 5000 per language, pre-tokenized input)."""
+    (documents of at least 20 characters, pre-tokenized input)."""
     m = training.trained_model(spark, sf_dir)
     s = corpus.sample_fertility(corpus.documents(spark, sf_dir, indic=True))
     per_doc = encode.encode_documents(s, m, pretokenize=True).withColumnRenamed("n_tokens", "n_tok")

@@ -16,15 +16,15 @@ from tokscope.operators import compare, metrics
 from tokscope.plans import evaluation
 from tokscope.plans.catalog import register
 from tokscope.plans.oracle import ORACLE, evaluate_sql, q
-from tokscope.session import scratch_path
+from tokscope.session import input_key, scratch_path
 from tokscope.sinks import files
 from tokscope.sources import corpus, results as rsrc
 
-_WRITTEN: dict[tuple[int, str], str] = {}
+_WRITTEN: dict[tuple, str] = {}
 
 
 def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (id(spark), sf_dir)
+    key = input_key(spark, f"{sf_dir}/documents.parquet")
     if key not in _WRITTEN:
         res = evaluation.evaluate(spark, corpus.documents(spark, sf_dir), n=None, max_chars=None,
                                   cont_docs=None)

@@ -23,7 +23,7 @@ ORACLE["evaluate_reference_sample"] = evaluate_sql(indic=True, n=1000, max_chars
 def q_sample_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation sampler with the reference parameters (its feature: first
     1000 kept docs per language, each cut to 2000 code points)."""
-    s = corpus.sample_eval(corpus.documents(spark, sf_dir))
+    s = corpus.sample_eval(corpus.documents(spark, sf_dir), n=corpus.SAMPLES_PER_LANG, max_chars=corpus.MAX_CHARS_PER_DOC)
     return s.select("doc_id", "lang", text.n_chars("text").alias("n_chars"),
                     text.n_bytes("text").alias("n_bytes"), F.md5("text").alias("text_md5"))
 
@@ -38,7 +38,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn
 
 @register("sample_fertility")
 def q_sample_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = corpus.sample_fertility(corpus.documents(spark, sf_dir))
+    s = corpus.sample_fertility(corpus.documents(spark, sf_dir), n=corpus.MAX_TEST_DOCS)
     return s.select("doc_id", "lang", text.n_chars("text").alias("n_chars"))
 
 
@@ -54,8 +54,8 @@ def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept docs per language: cap-before-filter (training) vs cap-after-filter
     (add-on), both with the reference cap of 200 000."""
     docs = corpus.documents(spark, sf_dir)
-    a = corpus.kept_counts(corpus.ingest_cap_before_filter(docs)).withColumnRenamed("kept", "kept_train")
-    b = corpus.kept_counts(corpus.ingest_cap_after_filter(docs)).withColumnRenamed("kept", "kept_addon")
+    a = corpus.kept_counts(corpus.ingest_cap_before_filter(docs, cap=corpus.MAX_TRAIN_DOCS)).withColumnRenamed("kept", "kept_train")
+    b = corpus.kept_counts(corpus.ingest_cap_after_filter(docs, cap=corpus.MAX_TRAIN_DOCS)).withColumnRenamed("kept", "kept_addon")
     return a.join(b, "lang", "full").select(
         "lang", F.coalesce("kept_train", F.lit(0)).cast("bigint").alias("kept_train"),
         F.coalesce("kept_addon", F.lit(0)).cast("bigint").alias("kept_addon"))
@@ -192,7 +192,7 @@ FROM s WHERE length(line) > 0
 
 # --------------------------------------------------- fertility record (MET2)
 def _fertility_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per language over the fertility sample (>= 20 chars, first 5000): the
+    """Per language over all documents of at least 20 characters: the
     text is pre-tokenized, space-joined and encoded (script model here)."""
     s = corpus.sample_fertility(corpus.documents(spark, sf_dir, indic=True))
     per_doc = s.select("lang", text.n_words("text").alias("n_words"),
@@ -212,8 +212,7 @@ SELECT lang, round(CAST(tt AS DOUBLE) / CAST(tw AS DOUBLE), 3) AS fertility, tw
 FROM (SELECT lang, CAST(sum(len(regexp_extract_all(text, {q(WORD)}))) AS BIGINT) AS tw,
              CAST(sum(len(regexp_extract_all(array_to_string(regexp_extract_all(text, {q(PRETOK)}), ' '), {q(PRETOK)}))) AS BIGINT) AS tt,
              CAST(count(*) AS BIGINT) AS docs
-      FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn
-            FROM ({clean_sql(indic=True, min_chars=20)})) WHERE rn <= 5000 GROUP BY lang)
+      FROM ({clean_sql(indic=True, min_chars=20)}) GROUP BY lang)
 WHERE tw > 0
 """
 ORACLE["fertility_record"] = _FERT_SQL

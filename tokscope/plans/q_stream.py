@@ -43,7 +43,7 @@ def q_stream_running_stats(spark, sf_dir):
     stream = cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir), max_files_per_trigger=1,
                                               spread=_spread(spark)))
     cs.complete_to_table(cs.running_stats(stream), out, ck)
-    return cs.with_ratios(spark.read.parquet(out))
+    return cs.with_ratios(cs.latest_table(spark, out))
 
 
 ORACLE["stream_running_stats"] = f"""

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tokscope.operators import bpe
-from tokscope.session import scratch_path
+from tokscope.session import input_key, scratch_path
 from tokscope.sinks import files
 from tokscope.sources import corpus
 
@@ -15,6 +15,7 @@ from tokscope.sources import corpus
 #: the reference, 32 000, needs thousands of rounds; see README)
 QUERY_MAX_MERGES = 200
 
+#: models of this process, by application and input files (with sizes and times)
 _MODELS: dict[tuple, bpe.BpeModel] = {}
 
 
@@ -26,7 +27,7 @@ def training_words(spark: SparkSession, sf_dir: str):
 
 
 def trained_model(spark: SparkSession, sf_dir: str, max_merges: int = QUERY_MAX_MERGES) -> bpe.BpeModel:
-    key = (id(spark), sf_dir, max_merges)
+    key = (*input_key(spark, f"{sf_dir}/documents.parquet"), max_merges)
     if key not in _MODELS:
         m = bpe.train(training_words(spark, sf_dir), max_merges=max_merges)
         base = scratch_path(spark, "bpe")

@@ -17,9 +17,6 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # first-N-per-language samples rely on the partial window group limit
-    # being planned below the shuffle; raise the threshold to cover our caps.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -28,6 +25,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """A local[N] session configured like the cluster profile (AQE on, UI off)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         .config("spark.tokscope.scan.partitions", str(cpus if str(cpus).isdigit() else os.cpu_count() or 1))
          .config("spark.driver.memory", driver_memory))
     for k, v in _LOCAL_CONF.items():
         b = b.config(k, v)
@@ -61,6 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def input_key(spark: SparkSession, path: str) -> tuple:
+    """Names what is read from ``path`` now: the application, and every input file with its size and modification time."""
+    f = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return spark.sparkContext.applicationId, tuple(sorted(tuple(map(str, r)) for r in f.collect()))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path under the shared checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark)

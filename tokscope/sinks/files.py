@@ -11,14 +11,11 @@ RESULT_COLUMNS = ["lang_code", "lang_name", "script", "n_docs", "n_words", "n_to
                   "avg_token_len", "grade", "model"]
 ROUND_DP = {"fertility": 4, "continuation_rate": 4, "bytes_per_token": 4, "unk_rate": 6,
             "vocab_coverage": 4, "nsl": 4, "avg_token_len": 4}
-SHORT_NAME_CHARS = 40  # fixed value: results file name keeps 40 characters
 
 
 def model_file_stem(model: Column) -> Column:
-    """``results_`` + model id with ``/`` and ``-`` -> ``_``, lower-cased,
-    cut to 40 characters (two ids sharing 40 characters share a file)."""
-    short = F.substring(F.lower(F.translate(model, "/-", "__")), 1, SHORT_NAME_CHARS)
-    return F.concat(F.lit("results_"), short)
+    """``results_`` + the whole model id with ``/`` and ``-`` -> ``_``, lower-cased (never cut: two long ids stay two files)."""
+    return F.concat(F.lit("results_"), F.lower(F.translate(model, "/-", "__")))
 
 
 def rounded_results(results: DataFrame) -> DataFrame:

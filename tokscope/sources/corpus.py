@@ -7,7 +7,7 @@ cap is an exact distributed top-N (see :func:`first_n_per_group`).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokscope.functions import langmeta
@@ -27,23 +27,15 @@ FERT_MIN_INCLUSIVE = 20       # fertility sample keeps length >= 20
 EVAL_MIN_INCLUSIVE = 10       # evaluation sample keeps length >= 10
 # ---------------------------------------------------------------------------
 
-DEFAULT_FANOUT = 16
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster's cores when it has fewer input splits
-    than cores (a small single-row-group file). Per-document work here is
-    CPU-bound regex work, so one task per core pays for the shuffle. At scale
-    the scan already has thousands of splits and this is a no-op (no shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Deal a scan to ``spark.tokscope.scan.partitions`` tasks where the session sets that (local sessions do: their test
+    files are one row group each). Unset, the default, the scan keeps its own splits and nothing is shuffled."""
+    n = df.sparkSession.conf.get("spark.tokscope.scan.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def documents(spark: SparkSession, sf_dir: str, indic: bool = False) -> DataFrame:
@@ -70,58 +62,40 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                      expr.otherwise(F.col("text")).alias("text"))
 
 
-def _ranked_first_n(df: DataFrame, n: int, group: list[str], order: list[str], fanout: int) -> DataFrame:
-    """Two-level window top-N (level 1 spreads a hot group over ``fanout``
-    tasks by input partition; both levels plan a partial WindowGroupLimit
-    below their shuffle). The first n of a union = the first n of the
-    per-part firsts."""
-    out = df
-    if fanout and fanout > 1:
-        out = out.withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(fanout)))
-        w1 = Window.partitionBy(*group, "_bucket").orderBy(*order)
-        out = (out.withColumn("_rn", F.row_number().over(w1))
-               .where(F.col("_rn") <= n).drop("_rn", "_bucket"))
-    w2 = Window.partitionBy(*group).orderBy(*order)
-    return (out.withColumn("_rn", F.row_number().over(w2))
-            .where(F.col("_rn") <= n).drop("_rn"))
-
-
-def first_n_per_group(df: DataFrame, n: int, group: list[str] | str,
-                      order: list[str] | str, fanout: int = DEFAULT_FANOUT) -> DataFrame:
-    """Exact first-``n`` rows per group by ``order`` (the order key must be
-    unique within a group, e.g. ``doc_id``).
-
-    1. count rows per group (partial aggregation, one row per group);
-       groups within the cap pass through untouched -- no shuffle at all;
-    2. for groups over the cap (at most rows / n of them: a proven bound,
-       broadcast) the cutoff key is found from the KEY columns only with a
-       skew-safe two-level window top-N, so no text crosses a shuffle;
-    3. rows are kept when their key is <= their group's cutoff (broadcast
-       join of one row per over-cap group).
+def first_n_per_group(df: DataFrame, n: int, group: list[str] | str, order: list[str] | str, fanout: int | None = None) -> DataFrame:
+    """Exact first-``n`` rows per group by ``order`` (unique within a group, e.g. ``doc_id``).
+
+    Only key columns are shuffled: a group is dealt to ``fanout`` parts by the hash of its order key (as many as there are
+    shuffle partitions, unless given), each part keeps its first n, and the parts are merged sixteen at a time, so a
+    hot group spreads over many tasks whatever n is. One cutoff per group, its n-th key, then filters the rows.
     """
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
-    keys = df.select(*group, *order)
-    over = (keys.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > n).select(*group))
-    if over.limit(1).count() == 0:
-        return df
+    parts = fanout or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(*order), F.lit(parts))
+    keys = df.select(*group, *order, part.alias("_part"))
+    while True:
+        w = Window.partitionBy(*group, "_part").orderBy(*order)
+        keys = keys.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+        if parts == 1:
+            break
+        parts = -(-parts // 16)
+        keys = keys.withColumn("_part", F.pmod("_part", F.lit(parts)))
     key = F.struct(*[F.col(c) for c in order])
-    firsts = _ranked_first_n(keys.join(F.broadcast(over), group, "left_semi"), n, group, order, fanout)
-    cut = firsts.groupBy(*group).agg(F.max(key).alias("_cut"))
-    return (df.join(F.broadcast(cut), group, "left")
-            .where(F.col("_cut").isNull() | (key <= F.col("_cut"))).drop("_cut"))
-
-
-def with_clean_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.withColumn(text_col, strip(text_col))
-
-
-def sample_eval(df: DataFrame, n: int | None = SAMPLES_PER_LANG,
-                max_chars: int | None = MAX_CHARS_PER_DOC,
-                min_chars: int = EVAL_MIN_INCLUSIVE, fanout: int = DEFAULT_FANOUT) -> DataFrame:
+    cut = keys.groupBy(*group).agg(F.max(key).alias("_cut"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in group]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    last = F.struct(*[F.col(f"d.{c}") for c in order])
+    return df.alias("d").join(cut.alias("c"), on).where(last <= F.col("c._cut")).select("d.*")
+
+
+def sample_eval(df: DataFrame, n: int | None = None,
+                max_chars: int | None = None,
+                min_chars: int = EVAL_MIN_INCLUSIVE, fanout: int | None = None) -> DataFrame:
     """Evaluation sample: strip, keep length >= min_chars (tested before the
-    cut), truncate to ``max_chars``, first ``n`` kept per language."""
+    cut), truncate to ``max_chars``, first ``n`` kept per language (None: whole texts, all documents)."""
     t = strip("text")
     out = (df.select("doc_id", "lang", t.alias("text"))
            .where(F.length("text") >= min_chars)
@@ -131,15 +105,15 @@ def sample_eval(df: DataFrame, n: int | None = SAMPLES_PER_LANG,
     return out
 
 
-def sample_fertility(df: DataFrame, n: int | None = MAX_TEST_DOCS,
-                     min_chars: int = FERT_MIN_INCLUSIVE, fanout: int = DEFAULT_FANOUT) -> DataFrame:
+def sample_fertility(df: DataFrame, n: int | None = None,
+                     min_chars: int = FERT_MIN_INCLUSIVE, fanout: int | None = None) -> DataFrame:
     """Fertility sample: strip, keep length >= 20, first n kept, no truncation."""
     return sample_eval(df, n=n, max_chars=None, min_chars=min_chars, fanout=fanout)
 
 
-def ingest_cap_before_filter(df: DataFrame, cap: int | None = MAX_TRAIN_DOCS,
+def ingest_cap_before_filter(df: DataFrame, cap: int | None = None,
                              min_exclusive: int = TRAIN_MIN_EXCLUSIVE,
-                             fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                             fanout: int | None = None) -> DataFrame:
     """Training ingest: take the first ``cap`` *raw* rows per language, then
     strip and keep length > 20 (so kept <= cap)."""
     raw = df.select("doc_id", "lang", "text")
@@ -149,9 +123,9 @@ def ingest_cap_before_filter(df: DataFrame, cap: int | None = MAX_TRAIN_DOCS,
             .where(F.length("text") > min_exclusive))
 
 
-def ingest_cap_after_filter(df: DataFrame, cap: int | None = MAX_TRAIN_DOCS,
+def ingest_cap_after_filter(df: DataFrame, cap: int | None = None,
                             min_exclusive: int = TRAIN_MIN_EXCLUSIVE,
-                            fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                            fanout: int | None = None) -> DataFrame:
     """Add-on ingest: strip, keep length > 20, stop after ``cap`` *kept* rows."""
     out = (df.select("doc_id", "lang", strip("text").alias("text"))
            .where(F.length("text") > min_exclusive))
@@ -195,7 +169,3 @@ def text_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
                       F.posexplode(F.split(F.col(text_col), "\r\n|\r|\n")).alias("line_no", "line"))
             .select("doc_id", "lang", "line_no", strip("line").alias("line"))
             .where(F.length("line") > 0))
-
-
-def length_col(c: str = "text") -> Column:
-    return F.length(F.col(c))

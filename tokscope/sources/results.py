@@ -20,19 +20,23 @@ RESULTS_SCHEMA = T.StructType([
 
 
 def load_results(spark: SparkSession, results_dir: str) -> DataFrame:
-    """All ``results_*`` files under ``results_dir`` with an explicit schema;
-    ``model`` is always the file stem with every ``results_`` removed
-    (overriding the column in the file). Raises if nothing matches."""
-    df = (spark.read.schema(RESULTS_SCHEMA).option("header", True)
-          .option("recursiveFileLookup", False).csv(results_dir))
-    stem = F.regexp_extract(F.col("_metadata.file_path"), r"(results_[^/]*?)(?:\.csv)?/[^/]*$", 1)
-    out = df.withColumn("model", F.regexp_replace(stem, "results_", ""))
-    if "file" in out.columns:
-        out = out.drop("file")
-    return out.select(*[f.name for f in RESULTS_SCHEMA.fields])
+    """Every ``results_*`` CSV under ``results_dir``, plain files as well as folders of part files (also those that our sink
+    writes as ``file=results_*``), with an explicit schema. ``model`` is always the last path element that starts with
+    ``results_``, without ``.csv`` and without any ``results_`` (overriding the column in the file). Other files are not read;
+    Spark raises PATH_NOT_FOUND if nothing matches."""
+    df = spark.read.schema(RESULTS_SCHEMA).option("header", True).csv(f"{results_dir.rstrip('/')}/{{results_*,file=results_*}}")
+    stem = F.regexp_extract(F.col("_metadata.file_path"), r"^.*/(?:file=)?(results_[^/]*)", 1)
+    model = F.replace(F.regexp_replace(stem, r"\.csv$", ""), F.lit("results_"), F.lit(""))
+    return df.withColumn("model", model).select(*[f.name for f in RESULTS_SCHEMA.fields])
 
 
 def read_token_list_json(spark: SparkSession, path: str, col: str = "token") -> DataFrame:
+    """A token list: one JSON array of strings per file (however it is laid out over lines), or one object per line. The first
+    character tells which; files of one list have one form."""
+    first = spark.read.text(path).where(F.trim("value") != "").first()
+    if first is not None and first[0].strip().startswith("["):
+        whole = spark.read.text(path, wholetext=True)
+        return whole.select(F.explode(F.from_json("value", "array<string>")).alias(col))
     return spark.read.schema(T.StructType([T.StructField(col, T.StringType())])).json(path)
 
 

@@ -68,11 +68,19 @@ def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def complete_to_table(agg: DataFrame, path: str, checkpoint: str) -> None:
-    """Complete-mode aggregate; every micro-batch overwrites the result table
-    (idempotent per batch id), state lives in the checkpoint location."""
+    """Complete-mode aggregate; every micro-batch writes the whole result to a folder of its own (a batch that runs again
+    rewrites its own folder), so a reader or a crash in between never sees a half table. State lives in the checkpoint
+    location. Read it with :func:`latest_table`."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def latest_table(spark: SparkSession, path: str) -> DataFrame:
+    """The result of the last finished micro-batch of :func:`complete_to_table`."""
+    every = spark.read.parquet(path)
+    last = every.agg(F.max("batch")).first()[0]
+    return every.where(F.col("batch") == last).drop("batch")
