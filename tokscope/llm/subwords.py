@@ -12,34 +12,36 @@ import re
 
 import numpy as np
 
-MEMO = 250_000      # words remembered by a task
+MEMO = 400_000      # words remembered by a task
 
 # Letters, numbers and white space below U+0100, and the contractions of the file's pattern
 _L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
 _PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 
-def _byte_letters() -> list[str]:
-    """The letter that byte-level BPE files write for each byte: printable Latin-1 as it is, the rest from U+0100 on."""
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE files write for each byte that is not printable Latin-1: one from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+    return {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - plain))}
+
+
+_LETTERS = _byte_letters()
+_WIDE = re.compile(r"[^\x00-\xff]")
 
 
 class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.tokenize = self.tokenizer.model.tokenize
         self.words: dict[bytes, tuple] = {}
         self.parts: dict[str, tuple] = {}
 
     def _part(self, part: str) -> tuple:
         ids = self.parts.get(part)
         if ids is None:
-            s = part if part.isascii() and part.isalnum() else "".join(map(self.letters.__getitem__, part.encode()))
-            ids = tuple(t.id for t in self.model.tokenize(s))
+            s = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(_LETTERS)
+            ids = tuple([t.id for t in self.tokenize(s)])
             if len(part) <= 64:
                 if len(self.parts) >= MEMO:
                     self.parts.clear()
@@ -48,10 +50,12 @@ class WordIds:
 
     def _word(self, word: bytes) -> tuple:
         text = word.decode("utf-8", "surrogatepass")
-        if "<|" in text or any(c > "\xff" for c in text):
+        if word.isalpha():
+            ids = self._part(text.lower())
+        elif "<|" in text or _WIDE.search(text):
             ids = tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
         else:
-            ids = tuple(i for p in _PART.findall(text.lower()) for i in self._part(p))
+            ids = tuple([i for p in _PART.findall(text.lower()) for i in self._part(p)])
         if len(word) <= 64:
             if len(self.words) >= MEMO:
                 self.words.clear()
