@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokscope.operators import metrics
 from tokscope.operators.tokenizers import SQL_MODELS
-from tokscope.session import ensure_checkpoint_dir
+from tokscope.session import materialised
 from tokscope.sources import corpus
 
 
@@ -19,12 +19,10 @@ def evaluate(spark: SparkSession, docs: DataFrame, models: list[str] | None = No
     """
     models = models or SQL_MODELS
     sample = corpus.sample_eval(docs, n=n, max_chars=max_chars)
-    if n is not None:
-        # a capped sample is bounded (n x languages) and reused by several
-        # branches: materialise it once in the shared checkpoint directory
-        ensure_checkpoint_dir(spark)
-        sample = sample.checkpoint(eager=True)
-    wc = metrics.word_counts(sample, cont_docs=cont_docs)
+    if cont_docs is not None:
+        sample = materialised(sample, "sample")     # read twice: for the first documents of a language, and for the words
+    # one scan and one word split; counts, document totals and first characters all come from this table
+    wc = materialised(metrics.word_counts(sample, cont_docs=cont_docs), "words")
     stats = metrics.word_model_stats(wc, models, ref_model=ref_model)
     agg = metrics.aggregate_word_stats(stats, metrics.doc_level(wc))
     cov = metrics.coverage_from_first_chars(spark, metrics.first_chars_from_stats(stats))

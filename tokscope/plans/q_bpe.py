@@ -11,6 +11,7 @@ from tokscope.functions import pretok, text
 from tokscope.operators import bpe, encode, metrics, vocab
 from tokscope.operators.tokenizers import TOKENIZERS
 from tokscope.plans import training
+from tokscope.session import materialised
 from tokscope.plans.catalog import register
 from tokscope.plans.oracle import ORACLE, PRETOK, q, strip_sql, docs_sql
 from tokscope.plans.q_vocab import base_vocab
@@ -74,8 +75,7 @@ def q_bpe_fertility(spark, sf_dir):
     (documents of at least 20 characters, pre-tokenized input)."""
     m = training.trained_model(spark, sf_dir)
     s = corpus.sample_fertility(corpus.documents(spark, sf_dir, indic=True))
-    per_doc = encode.encode_documents(s, m, pretokenize=True).withColumnRenamed("n_tokens", "n_tok")
-    return metrics.fertility_pretok(per_doc)
+    return metrics.fertility_pretok(encode.encode_documents(s, m, pretokenize=True).withColumnRenamed("n_tokens", "n_tok"))
 
 
 @register("bpe_evaluate")
@@ -84,7 +84,7 @@ def q_bpe_evaluate(spark, sf_dir):
     NSL against the script tokenizer, coverage from its vocabulary."""
     m = training.trained_model(spark, sf_dir)
     docs = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True), n=None, max_chars=None)
-    wc = metrics.word_counts(docs, cont_docs=None)
+    wc = materialised(metrics.word_counts(docs), "words")
     stats = encode.bpe_word_stats(wc, m, TOKENIZERS["script"].pieces(F.col("word")).cast("bigint"))
     agg = metrics.aggregate_word_stats(stats, metrics.doc_level(wc))
     cov = vocab.vocab_coverage(spark, m.vocab).withColumn("model", F.lit("bpe"))
@@ -100,17 +100,52 @@ def q_bpe_novel(spark, sf_dir):
 
 @register("bpe_token_ids")
 def q_bpe_token_ids(spark, sf_dir):
-    """Token <-> id mapping: the example sentences' BPE tokens with their ids
-    (join on the vocabulary table; unknown tokens map to the unk id)."""
+    """Token ids of every document, and the tokens that the ids map back to, joined with spaces."""
     m = training.trained_model(spark, sf_dir)
-    s = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True), n=None, max_chars=None)
-    firsts = corpus.first_n_per_group(s, metrics.EXAMPLES_PER_LANG, "lang", "doc_id")
-    sent = firsts.select("doc_id", "lang", text.example_sentence(F.col("text")).alias("sentence"))
-    occ = sent.select("doc_id", "lang", F.posexplode(encode.model_split(F.col("sentence"))).alias("i", "piece"))
-    enc = encode.encode_pieces(occ.select("piece").distinct(), m)
-    toks = (occ.join(enc, "piece").select("doc_id", "lang", "i", F.posexplode("tokens").alias("j", "token")))
-    ids = toks.join(m.vocab.select("token", "id"), "token", "left")
-    return (ids.groupBy("doc_id", "lang")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "id"))),
-                                          lambda x: x["id"].cast("string")), " ").alias("ids"),
-                 F.count(F.lit(1)).cast("bigint").alias("n_tokens")))
+    docs = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True))
+    enc = encode.encoded_documents(docs, m)
+    back = encode.decoded_documents(enc, m).withColumnRenamed("doc_id", "back_id")
+    ids = enc.select("doc_id", "lang", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), "n_tokens")
+    return ids.join(back, F.col("doc_id") == F.col("back_id")).drop("back_id")
+
+
+@register("bpe_round_trip")
+def q_bpe_round_trip(spark, sf_dir):
+    """What encoding must keep, per document: the code points of its pieces (a token outside the alphabet stands for one)."""
+    m = training.trained_model(spark, sf_dir)
+    docs = corpus.sample_eval(corpus.documents(spark, sf_dir, indic=True))
+    enc = encode.encoded_documents(docs, m)
+    back = encode.decoded_documents(enc, m)
+    unk = text.UNK_TOKEN
+    plain = F.replace(F.replace("tokens", F.lit(unk), F.lit("?")), F.lit(" "), F.lit(""))
+    return back.select("doc_id", F.length(plain).cast("bigint").alias("n_chars"), F.md5(plain).alias("chars_md5"))
+
+
+ORACLE["bpe_round_trip"] = f"""
+WITH d AS (SELECT doc_id, {strip_sql('text')} AS t FROM ({docs_sql(indic=True)})),
+p AS (SELECT doc_id, array_to_string(regexp_extract_all(array_to_string(regexp_extract_all(t, {q(PRETOK)}), ' '), {q(pretok.MODEL_SPLIT_RE)}), '') AS c
+      FROM d WHERE length(t) >= 10)
+SELECT doc_id, CAST(length(c) AS BIGINT) AS n_chars, md5(c) AS chars_md5 FROM p
+"""
+
+
+@register("bpe_invariants")
+def q_bpe_invariants(spark, sf_dir):
+    """What SQL can say about the trained vocabulary: the alphabet's size, and the first merge."""
+    m = training.trained_model(spark, sf_dir)
+    first = m.merges.where("rank = 0").select("left", "right", "cnt")
+    alphabet = m.vocab.where(~F.col("is_special") & (F.length("token") == 1)).agg(F.count(F.lit(1)).cast("bigint").alias("n_alphabet"))
+    sizes = m.vocab.agg(F.count(F.lit(1)).alias("v")).first()["v"] - m.merges.count() - len(text.SPECIAL_TOKENS)
+    return first.withColumn("n_alphabet", F.lit(alphabet.first()[0]).cast("bigint")).withColumn(
+        "n_not_merged", F.lit(sizes).cast("bigint"))
+
+
+ORACLE["bpe_invariants"] = f"""
+WITH w AS ({_WORDS_SQL}), s AS (SELECT freq, regexp_extract_all(word, '(?s).') AS syms FROM w),
+p AS (SELECT freq, syms[i] AS l, syms[i + 1] AS r
+      FROM (SELECT freq, syms, unnest(generate_series(1, len(syms) - 1)) AS i FROM s WHERE len(syms) > 1)),
+c AS (SELECT l, r, CAST(sum(freq) AS BIGINT) AS cnt FROM p GROUP BY l, r),
+a AS (SELECT count(DISTINCT c) AS n FROM (SELECT unnest(syms) AS c FROM s))
+SELECT l AS "left", r AS "right", cnt, CAST((SELECT n FROM a) AS BIGINT) AS n_alphabet, CAST((SELECT n FROM a) AS BIGINT) AS n_not_merged
+FROM c ORDER BY cnt DESC, l, r LIMIT 1
+"""

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.ui.enabled": "false",
@@ -69,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path under the shared checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared folder and read back: branches that share it read pruned columns
+    instead of running its plan again, and a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
