@@ -113,3 +113,49 @@ def test_bpe_metric_rows_brute_force(spark):
         kept = [len(x.lstrip("▁Ġ#Ċ<>[]")) for x in toks if x != "[UNK]"]
         assert r["len_sum"] == sum(kept)
         assert r["avg_token_len"] == (sum(kept) / len(kept) if kept else 0.0)
+
+
+def _merge(s, l, r):
+    out = []
+    for x in s:
+        if out and out[-1] == l and x == r:
+            out[-1] = l + r
+        else:
+            out.append(x)
+    return out
+
+
+def _pairs(state):
+    c = {}
+    for s, f in state:
+        for p in zip(s, s[1:]):
+            c[p] = c.get(p, 0) + f
+    return sorted(((l, r, n) for (l, r), n in c.items()), key=lambda x: (-x[2], x[0], x[1]))
+
+
+def test_batches_equal_one_at_a_time_on_many_corpora():
+    """The batch rule on 400 random corpora with many ties and repeated symbols, whole heads and cut heads."""
+    rounds = merges = 0
+    for seed in range(400):
+        rnd = random.Random(seed)
+        words = {}
+        for _ in range(rnd.randint(2, 40)):
+            words["".join(rnd.choice("abcde"[:rnd.randint(2, 5)]) for _ in range(rnd.randint(1, 9)))] = rnd.randint(1, 9)
+        floor, top = 2, rnd.choice([3, 8, 1000])
+        exp, _ = bpe_train_sequential(words, 10_000)
+        exp = [(l, r) for l, r, n in exp if n >= floor]
+        state, got, known = [(list(w), f) for w, f in words.items()], [], set()
+        while True:
+            every = _pairs(state)
+            head = [p for p in every[:top] if p[2] >= floor]
+            if not head:
+                break
+            batch = bpe.accept_batch(head, known, len(every) <= top or every[top - 1][2] < floor)
+            for l, r, _ in batch:
+                state = [(_merge(s, l, r), f) for s, f in state]
+                known.add(l + r)
+            got += [(l, r) for l, r, _ in batch]
+            rounds += 1
+        assert got == exp[:len(got)] and len(got) == len(exp), (seed, top)
+        merges += len(got)
+    assert rounds < 0.8 * merges

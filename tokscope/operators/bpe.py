@@ -14,8 +14,8 @@ One round:
   3. the exact batch of merges for the round (see :func:`accept_batch`);
   4. every word is rewritten with one ``regexp_replace`` per accepted merge
      (codegen'd; Java's left-to-right, non-overlapping replacement is exactly
-     the merge rule, self-pairs included; accepted pairs are symbol-disjoint
-     so their order does not matter), no join.
+     the merge rule, self-pairs included; accepted pairs never chain, so
+     they cannot overlap and their order does not matter), no join.
 The words table is persisted between rounds and checkpointed (reliable, to
 ``spark.checkpoint.dir``) every few rounds to cut lineage.
 
@@ -93,40 +93,48 @@ def _repl_quote(sym: str) -> str:
     return sym.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def accept_batch(head: list[tuple[str, str, int]], known_merged: set[str]) -> list[tuple[str, str, int]]:
+def accept_batch(head: list[tuple[str, str, int]], known_merged: set[str], complete: bool = False) -> list[tuple[str, str, int]]:
     """The merges one-at-a-time BPE would make next, as many as provably safe.
 
-    ``head`` is the top of the pair order (count desc, l, r). Accept the
-    longest prefix whose pairs share no symbol, are not self-pairs (a, a)
-    and whose merged string is new (not an earlier merge result and not
-    produced twice); then keep only pairs whose count is strictly greater
-    than that of the first pair that broke the prefix (or of the last pair
-    seen when the head was exhausted). The first pair is always taken.
-    Merging disjoint pairs cannot change each other's counts, and every pair
-    a merge creates is bounded by a pair sharing a symbol with it, which was
-    ranked at or below the first rejected pair.
+    ``head`` is the top of the pair order (count desc, l, r); ``complete`` says that it holds every pair that may still be
+    merged. Two pairs chain if the right symbol of one is the left symbol of the other; only then can they overlap in a
+    word. The longest prefix is taken whose pairs do not chain with each other, are not self-pairs and whose merged strings
+    are new. A pair that these merges create is a chaining pair of the head before the merge, so it is counted no higher than
+    the first pair that was not taken: all taken pairs counted higher are safe. A taken pair with just that count is safe if
+    it comes, in the order of ties, before every pair that the tied chaining pairs can turn into; a cut-off head does not show
+    them all, so there ties are left for the next round. The first pair is always taken.
     """
     if not head:
         return []
-    l0, r0, c0 = head[0]
-    out = [head[0]]
-    if l0 == r0 or (l0 + r0) in known_merged:
-        return out
-    used = {l0, r0}
-    merged = {l0 + r0}
-    bound = None
-    for l, r, c in head[1:]:
-        m = l + r
-        if l == r or l in used or r in used or m in known_merged or m in merged:
-            bound = c
+    l0, r0, _ = head[0]
+    if l0 == r0 or l0 + r0 in known_merged:
+        return head[:1]
+    taken, lefts, rights, made = [], set(), set(), set()
+    for l, r, c in head:
+        if l == r or l in rights or r in lefts or l + r in known_merged or l + r in made or l in made or r in made:
             break
-        out.append((l, r, c))
-        used.update((l, r))
-        merged.add(m)
-    if bound is None:  # head exhausted: the last seen pair is the bound
-        bound = head[-1][2]
-        out = out[:-1] if len(out) > 1 else out
-    return [out[0]] + [p for p in out[1:] if p[2] > bound]
+        taken.append((l, r, c))
+        lefts.add(l)
+        rights.add(r)
+        made.add(l + r)
+    rest = head[len(taken):]
+    if not rest and complete:
+        return taken
+    bound = rest[0][2] if rest else head[-1][2]
+    safe = [p for p in taken if p[2] > bound]
+    if complete or (rest and head[-1][2] < bound):
+        by_left, by_right = {}, {}
+        for l, r, _ in taken:
+            by_left.setdefault(l, []).append(l + r)
+            by_right.setdefault(r, []).append(l + r)
+        turned = [x for l, r, c in rest if c == bound
+                  for x in [(l, m) for m in by_left.get(r, ())] + [(m, r) for m in by_right.get(l, ())]]
+        first = min(turned, default=None)
+        for p in taken[len(safe):]:
+            if first is not None and (p[0], p[1]) >= first:
+                break
+            safe.append(p)
+    return safe or taken[:1]
 
 
 def rewrite(state: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
@@ -189,10 +197,11 @@ def _train(spark, words, vocab_size, min_frequency, specials, max_merges, top_k,
         if prev is not None:  # state is materialised now; its parent can go
             prev.unpersist()
             prev = None
+        complete = len(head) < top_k or head[-1]["cnt"] < min_frequency
         head = [(r["l"], r["r"], int(r["cnt"])) for r in head if r["cnt"] >= min_frequency]
         if not head:
             break
-        batch = accept_batch(head, known)[: budget - len(merges)]
+        batch = accept_batch(head, known, complete)[: budget - len(merges)]
         merges += batch
         known.update(l + r for l, r, _ in batch)
         rounds += 1
