@@ -13,7 +13,10 @@ repeated rows; with no labelled row every score is 0.5; extra columns are ignore
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -36,7 +39,7 @@ for _c, _s in ((1, b"abcdefghijklmnopqrstuvwxyz"), (2, b"ABCDEFGHIJKLMNOPQRSTUVW
     _CLASS[list(_s)] = _c
 _CLASS[128:] = 10
 N_CLASS = 11
-N_STATS = N_CLASS + N_CLASS + 7
+N_STATS = N_CLASS + N_CLASS + 9
 
 
 def text_stats(text: str | None) -> np.ndarray:
@@ -61,10 +64,12 @@ def text_stats(text: str | None) -> np.ndarray:
         out[k:k + N_CLASS] = np.bincount(cls[ends], minlength=N_CLASS) / len(ends)
         ln = ends - starts + 1
         words = raw.split()
-        out[2 * k:2 * k + 4] = (np.log1p(ln.mean()), np.log1p(ln.std()), len(set(words)) / len(words), np.log1p(len(words)) / 12)
+        count = Counter(words)
+        out[2 * k:2 * k + 6] = (np.log1p(ln.mean()), np.log1p(ln.std()), len(count) / len(words), np.log1p(len(words)) / 12,
+                                max(count.values()) / len(words), sum(map(eq, words, islice(words, 1, None))) / len(words))
     lines = raw.split(b"\n")
     p = h[h > 0] / len(a)
-    out[2 * k + 4:] = (np.log1p(len(a)) / 16, len(set(lines)) / len(lines), -(p * np.log2(p)).sum() / 8)
+    out[2 * N_CLASS + 6:] = (np.log1p(len(a)) / 16, len(set(lines)) / len(lines), -(p * np.log2(p)).sum() / 8)
     return out
 
 
