@@ -29,7 +29,8 @@ from tokscope.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 2
-SAMPLE = 32_768        # fingerprints on the driver in one round of splitting, over all shards
+SAMPLE = 32_768        # fingerprints sampled to the driver in the first round of splitting
+PER_SHARD = 256        # of each shard that is split again, at least (2 KB of the driver's memory each)
 MAX_SHARD = 8_192      # fingerprints of a shard, unless it cannot be split
 LEAF = 1_024           # fingerprints compared directly
 BLOCK = 4_000_000      # pairs compared at a time
@@ -130,10 +131,10 @@ def shards(fps: DataFrame, r: int, max_shard: int | None = None) -> DataFrame:
                if not x.shard.endswith("!")}
         if not big:
             return state
-        share = SAMPLE / len(big)
-        rates = F.create_map(*[F.lit(x) for s, n in big.items() for x in (s, min(1.0, share / n))])
+        share = max(PER_SHARD, SAMPLE // len(big))
+        rates = spark.createDataFrame([(s, min(1.0, share / n)) for s, n in big.items()], "shard string, rate double")
         u = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / float(1 << 30)
-        picked = state.filter(F.col("shard").isin(list(big))).filter(u < rates[F.col("shard")]).limit(2 * SAMPLE).toPandas()
+        picked = state.join(rates, "shard").filter(u < F.col("rate")).select("shard", "fp").limit(2 * share * len(big)).toPandas()
         trees = {}
         for s, g in picked.groupby("shard"):
             pts = np.sort(g["fp"].to_numpy(np.int64)).view(np.uint64)
