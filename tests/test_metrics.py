@@ -55,3 +55,18 @@ def test_evaluate_matches_brute_force(spark):
             assert r["continuation_rate"] == split / words
             assert abs(r["avg_token_len"] - sum(lens) / len(lens)) < 1e-12
             assert abs(r["vocab_coverage"] - sum(c in vocab_chars[m] for c in assigned) / len(assigned)) < 1e-12
+
+
+def test_evaluation_splits_the_text_once(spark, tmp_path):
+    """The text is scanned and split for the word table only; everything in the result's plan reads that table."""
+    from tokscope.operators import metrics
+    from tokscope.operators.tokenizers import SQL_MODELS
+    from tokscope.plans import evaluation
+    from tokscope.sources import corpus
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(1, "eng", "some longer text"), (2, "hin", "more words in here")], "doc_id long, lang string, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    words = metrics.word_counts(corpus.sample_eval(docs))._jdf.queryExecution().executedPlan().toString()
+    assert words.count("FileScan") == 1 and words.count("posexplode") == 1
+    plan = evaluation.evaluate(spark, docs, SQL_MODELS)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and path not in plan
