@@ -11,7 +11,8 @@ SF = os.environ.get("TOKSCOPE_TEST_SF", "/root/testdata/sf0.001")
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 def test_all_queries_match_oracle(spark):
-    res = oracle_harness.run(SF, spark=spark, verbose=False)
+    from tokscope.plans.catalog import queries
+    res = oracle_harness.run(SF, names=list(queries()), spark=spark, verbose=False)
     bad = {k: v for k, v in res.items() if v.get("hash_ok") is False or v.get("cols_ok") is False}
     assert not bad, bad
     assert all(v["rows"] >= 0 for v in res.values())
