@@ -38,15 +38,52 @@ def _st(x: str) -> str:
     return f"regexp_replace({x}, {q(STRIP)}, '', 'g')"
 
 
-def _segments_sql(truncate: bool) -> str:
+#: The given conversations have neither thoughts nor tools. This view adds them by rule: turn numbers get gaps, some user turns
+#: become tool results (runs of them too), and assistants think in whole or broken tags and call a tool.
+_PLAIN = "SELECT conv_id, turn, role, coalesce(text, '') AS raw, '' AS call FROM conversations"
+_DERIVED = """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn,
+  CASE WHEN role = 'user' AND (conv_id + turn) % 5 > 2 THEN 'tool' ELSE role END AS role,
+  CASE WHEN role <> 'assistant' THEN coalesce(text, '') WHEN conv_id % 4 = 0 THEN '<think>why</think> ' || coalesce(text, '') || ' '
+       WHEN conv_id % 4 = 1 THEN coalesce(text, '') || '</think> so' WHEN conv_id % 4 = 2 THEN 'x<think>' || coalesce(text, '')
+       ELSE coalesce(text, '') END AS raw,
+  CASE WHEN role = 'assistant' AND (conv_id + turn) % 3 = 0 THEN CAST(turn AS VARCHAR) ELSE '' END AS call FROM conversations"""
+
+
+def _derived(spark, sf_dir):
+    m = _msgs(spark, sf_dir)
+    k, assistant, t = F.col("conv_id") + F.col("turn"), F.col("role") == "assistant", F.coalesce("text", F.lit(""))
+    by = F.col("conv_id") % 4
+    thought = (F.when(by == 0, F.concat(F.lit("<think>why</think> "), t, F.lit(" "))).when(by == 1, F.concat(t, F.lit("</think> so")))
+               .when(by == 2, F.concat(F.lit("x<think>"), t)).otherwise(t))
+    call = F.array(F.struct(F.lit("f").alias("name"), F.array(F.struct(F.lit("k").alias("key"), F.col("turn").cast("string").alias("value"))).alias("arguments")))
+    return m.select("conv_id", (F.col("turn") * 2 + 3).alias("turn"), F.when((F.col("role") == "user") & (k % 5 > 2), "tool").otherwise(F.col("role")).alias("role"),
+                    F.when(assistant, thought).otherwise(t).alias("text"), F.when(assistant & (k % 3 == 0), call).alias("tool_calls"))
+
+
+@register("chat_render_tools")
+def q_chat_render_tools(spark, sf_dir):
+    """Thoughts (whole and broken), tool calls, tool results and gaps between turn numbers; history thinking truncated."""
+    return chat.render(_derived(spark, sf_dir))
+
+
+@register("chat_render_tools_prompt")
+def q_chat_render_tools_prompt(spark, sf_dir):
+    """The same view with all thinking kept and a generation prompt that thinks."""
+    return chat.render(_derived(spark, sf_dir), truncate_history_thinking=False, add_generation_prompt=True, enable_thinking=True)
+
+
+def _segments_sql(truncate: bool, source: str = _PLAIN) -> str:
     S, E = q(chat.IM_START), q(chat.IM_END)
     A = q(chat.IM_START + "assistant\n")
     ET = q(chat.EMPTY_THINK)
     trunc = "(idx < lui)" if truncate else "false"
     after = "string_split(content, '</think>')[-1]"
     trunc_c = _st(f"CASE WHEN contains(content, '<think>') AND contains(content, '</think>') THEN {ET} || {after} ELSE content END")
+    hist = f"CASE WHEN contains(content, '</think>') THEN {after} WHEN contains(content, '<think>') THEN string_split(content, '<think>')[1] ELSE content END"
+    block = ("'<tool_call>' || chr(10) || '<function=f>' || chr(10) || '<parameter=k>' || chr(10) || call || chr(10) || '</parameter>' || chr(10) "
+             "|| '</function>' || chr(10) || '</tool_call>' || chr(10)")
     return f"""
-m AS (SELECT conv_id, turn, role, coalesce(text, '') AS raw FROM conversations),
+m AS ({source}),
 f AS (SELECT conv_id, arg_min(role, turn) AS first_role, arg_min(raw, turn) AS first_text,
              coalesce(max(CASE WHEN role = 'user' THEN turn END), -1) AS last_user_turn, max(turn) AS last_turn
       FROM m GROUP BY conv_id),
@@ -59,9 +96,9 @@ y AS (SELECT *, turn - (CASE WHEN first_role = 'system' THEN 1 ELSE 0 END) AS id
              CASE WHEN NOT contains(raw, '<think>') AND NOT contains(raw, '</think>') THEN {ET} || raw ELSE raw END AS content
       FROM x),
 s AS (SELECT conv_id, turn, CASE
-        WHEN role = 'assistant' THEN (CASE WHEN NOT {trunc} THEN {A} || {_st('content')} || {E}
-                                           WHEN length({trunc_c}) > 0 THEN {A} || {trunc_c} || {E}
-                                           ELSE {A} || {E} END)
+        WHEN role = 'assistant' AND call <> '' THEN {A} || (CASE WHEN length({_st('content')}) = 0 THEN {ET}
+             WHEN {trunc} THEN {ET} || {_st(hist)} || chr(10) ELSE {_st('content')} || chr(10) END) || {block} || {E}
+        WHEN role = 'assistant' THEN {A} || (CASE WHEN {trunc} THEN {trunc_c} ELSE {_st('content')} END) || {E}
         WHEN role = 'tool' THEN (CASE WHEN prev_role IS NOT NULL AND idx > 0 AND prev_role <> 'tool' THEN {S} || 'user' || chr(10) ELSE '' END)
              || {q(chat.TOOL_RESPONSE_OPEN)} || raw || {q(chat.TOOL_RESPONSE_CLOSE)}
              || (CASE WHEN turn = last_turn OR next_role <> 'tool' THEN {E} ELSE '' END)
@@ -69,8 +106,8 @@ s AS (SELECT conv_id, turn, CASE
       FROM y WHERE NOT (first_role = 'system' AND turn = 0))"""
 
 
-def _render_sql(truncate: bool, gen: str) -> str:
-    return f"""WITH {_segments_sql(truncate)}
+def _render_sql(truncate: bool, gen: str, source: str = _PLAIN) -> str:
+    return f"""WITH {_segments_sql(truncate, source)}
 SELECT f.conv_id, {q(chat.IM_START + 'system' + chr(10))} || (CASE WHEN f.first_role = 'system' THEN f.first_text ELSE '' END)
        || {q(chat.IM_END)} || coalesce((SELECT string_agg(segment, '' ORDER BY turn) FROM s WHERE s.conv_id = f.conv_id), '')
        || {q(gen)} AS text
@@ -79,4 +116,6 @@ FROM f"""
 
 ORACLE["chat_render"] = _render_sql(True, "")
 ORACLE["chat_render_prompt"] = _render_sql(False, chat.GEN_PROMPT_NO_THINKING)
+ORACLE["chat_render_tools"] = _render_sql(True, "", _DERIVED)
+ORACLE["chat_render_tools_prompt"] = _render_sql(False, chat.GEN_PROMPT_THINKING, _DERIVED)
 ORACLE["chat_segments"] = f"WITH {_segments_sql(True)}\nSELECT conv_id, CAST(turn AS BIGINT) AS turn, segment FROM s"
