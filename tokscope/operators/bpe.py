@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tokscope.functions.pretok import model_split, pretokens
 from tokscope.functions.text import SPECIAL_TOKENS
-from tokscope.session import ensure_checkpoint_dir
+from tokscope.session import ensure_checkpoint_dir, scratch_path
 
 # --- fixed values: trainer settings of the reference ------------------------
 VOCAB_SIZE = 32_000
@@ -167,27 +167,22 @@ def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = M
     """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
-    # Each round is a small two-stage job; adaptive re-planning per stage
-    # costs more than it saves here (measured ~25 % per round), so it is
-    # switched off for the loop and restored afterwards.
-    aqe = spark.conf.get("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return _train(spark, words, vocab_size, min_frequency, specials, max_merges, top_k, checkpoint_every)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
-
-
-def _train(spark, words, vocab_size, min_frequency, specials, max_merges, top_k, checkpoint_every) -> BpeModel:
-    # (An incremental pair table -- previous counts + delta of changed words --
-    # was measured 4x slower per round: its lineage nests every round and
-    # re-planning it dominates. Recounting from the cached state is cheaper.)
-    state = initial_state(words).persist()
-    alphabet = (state.select(F.explode(symbols(F.col("seg"))).alias("token")).distinct())
+    # Each round is a small two-stage job; adaptive re-planning per stage costs more than it saves here (measured ~25 % per
+    # round). The loop has a session of its own, so nobody else's queries see the setting.
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    start, letters, end = (scratch_path(spark, f"bpe-{x}") for x in ("words", "alphabet", "segmentation"))
+    initial_state(words).write.parquet(start)
+    state = own.read.parquet(start).persist()
+    state.select(F.explode(symbols(F.col("seg"))).alias("token")).distinct().write.parquet(letters)
+    alphabet = spark.read.parquet(letters)
     n_alpha = alphabet.count()
     budget = vocab_size - len(specials) - n_alpha
     if max_merges is not None:
         budget = min(budget, max_merges)
+    # (An incremental pair table -- previous counts + delta of changed words --
+    # was measured 4x slower per round: its lineage nests every round and
+    # re-planning it dominates. Recounting from the cached state is cheaper.)
     merges: list[tuple[str, str, int]] = []
     known: set[str] = set()
     rounds = 0
@@ -213,6 +208,11 @@ def _train(spark, words, vocab_size, min_frequency, specials, max_merges, top_k,
             nxt = nxt.persist()
             prev = state
         state = nxt
+    state.write.parquet(end)
+    for done in (state, prev):
+        if done is not None:
+            done.unpersist()
+    state = spark.read.parquet(end)
     merges_df = spark.createDataFrame(
         [(i, l, r, l + r, c) for i, (l, r, c) in enumerate(merges)],
         "rank int, left string, right string, merged string, cnt bigint")
