@@ -120,11 +120,16 @@ def _tool_list(tools: list) -> str:
 
     out = ""
     for t in tools:
+        t = t.get("function", t)
         spec = t.get("parameters", {})
-        params = "".join(f"\n<parameter>{tag('name', k)}{fields(v, listed=('enum',))}\n</parameter>" for k, v in spec.get("properties", {}).items())
+        params = "".join(
+            f"\n<parameter>{tag('name', k)}{fields(v, listed=('enum',))}"
+            + "".join(tag(x, y if isinstance(y, str) else json.dumps(y)) for x, y in v.items() if x not in ("type", "description", "enum"))
+            + "\n</parameter>" for k, v in spec.get("properties", {}).items())
         needs = tag("required", json.dumps(spec["required"], ensure_ascii=False)) if "required" in spec else ""
         about = {k: v for k, v in t.items() if k == "description"}
-        out += f"\n<function>{tag('name', t['name'])}{fields(about)}\n<parameters>{params}{needs}\n</parameters>\n</function>"
+        more = "".join(tag(k, v) for k, v in t.items() if k not in ("type", "name", "description", "parameters"))
+        out += f"\n<function>{tag('name', t['name'])}{fields(about)}\n<parameters>{params}{needs}\n</parameters>{more}\n</function>"
     return f"# Tools\n\nYou have access to the following functions:\n\n<tools>{out}\n</tools>{TOOLS_INSTRUCTIONS}"
 
 

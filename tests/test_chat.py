@@ -82,3 +82,14 @@ def test_turn_numbers_may_have_gaps(spark):
         got = {r.conv_id: r.text for r in chat.render(gaps, **kw).collect()}
         assert got == {r.conv_id: r.text for r in chat.render(df, **kw).collect()}
         assert got == {cid: render_chat(msgs, **kw) for cid, msgs in CONVS.items()}
+
+
+def test_wrapped_tools_and_extra_keys(spark):
+    plain = {"name": "find", "description": "Finds", "strict": "yes",
+             "parameters": {"properties": {"q": {"type": "string", "default": "all", "examples": ["a", "b"]}, "n": {"type": "integer"}}}}
+    params = [("q", "string", None, None, "all", ["a", "b"]), ("n", "integer", None, None, None, None)]
+    schema = ("conv_id long, tools array<struct<type:string,function:struct<name:string,description:string,parameters:array<struct<name:string,"
+              "type:string,description:string,enum:array<string>,default:string,examples:array<string>>>,required:array<string>,strict:string>>>")
+    tools = spark.createDataFrame([(1, [("function", ("find", "Finds", params, None, "yes"))])], schema)
+    got = {r.conv_id: r.text for r in chat.render(_df(spark), tools=tools).collect()}
+    assert got[1] == render_chat(CONVS[1], tools=[{"type": "function", "function": plain}])

@@ -159,7 +159,27 @@ def json_string_list(arr: Column) -> Column:
 def tools_preamble(tools: DataFrame) -> DataFrame:
     """conv_id, preamble from ``tools(conv_id, tools ARRAY<STRUCT<name,
     description, parameters ARRAY<STRUCT<name, type, description, enum
-    ARRAY<STRING>>>, required ARRAY<STRING>>>)``."""
+    ARRAY<STRING>>>, required ARRAY<STRING>>>)``. Tools may also be wrapped, as
+    ``STRUCT<type, function STRUCT<...>>``. Any further field of a parameter or a
+    tool is an extra key: printed after the known ones where it is not null,
+    lists and maps as JSON.
+    """
+    kind = tools.schema["tools"].dataType.elementType
+    if "function" in kind.names:
+        tools = tools.withColumn("tools", F.transform("tools", lambda t: t["function"]))
+        kind = kind["function"].dataType
+    p_kind = kind["parameters"].dataType.elementType
+
+    def extras(value, of, known):
+        out = []
+        for f in of.fields:
+            if f.name not in known:
+                v = value[f.name]
+                nested = f.dataType.typeName() in ("array", "map", "struct")
+                shown = json_string_list(v) if f.dataType.simpleString() == "array<string>" else F.to_json(v) if nested else v.cast("string")
+                out.append(F.when(v.isNotNull(), F.concat(_lit(f"\n<{f.name}>"), shown, _lit(f"</{f.name}>"))).otherwise(_lit("")))
+        return F.concat(*out) if out else _lit("")
+
     def param(p):
         return F.concat(
             _lit("\n<parameter>\n<name>"), p["name"], _lit("</name>"),
@@ -167,6 +187,7 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
             F.when(p["description"].isNotNull(),
                    F.concat(_lit("\n<description>"), strip(p["description"]), _lit("</description>"))).otherwise(_lit("")),
             F.when(p["enum"].isNotNull(), F.concat(_lit("\n<enum>"), json_string_list(p["enum"]), _lit("</enum>"))).otherwise(_lit("")),
+            extras(p, p_kind, ("name", "type", "description", "enum")),
             _lit("\n</parameter>"))
 
     def fn(t):
@@ -178,7 +199,7 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
             F.array_join(F.transform(F.coalesce(t["parameters"], F.array()), param), ""),
             F.when(t["required"].isNotNull(),
                    F.concat(_lit("\n<required>"), json_string_list(t["required"]), _lit("</required>"))).otherwise(_lit("")),
-            _lit("\n</parameters>\n</function>"))
+            _lit("\n</parameters>"), extras(t, kind, ("type", "name", "description", "parameters", "required")), _lit("\n</function>"))
 
     body = F.array_join(F.transform(F.col("tools"), fn), "")
     return tools.where(F.size("tools") > 0).select(
