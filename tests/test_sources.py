@@ -105,3 +105,12 @@ def test_cluster_sessions_need_a_shared_folder():
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(session)
     assert os.environ is not None
+
+
+def test_scratch_tables_can_be_removed(spark, monkeypatch):
+    from tokscope import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    kept = session.materialised(spark.range(3), "drop-test")
+    assert kept.count() == 3 and os.path.isdir(kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0])
+    folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(folder)

@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Scratch paths of this process.
+_SCRATCH: list[str] = []
+
 _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -66,9 +69,22 @@ def input_key(spark: SparkSession, path: str) -> tuple:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path under the shared checkpoint dir for written tables."""
+    """A fresh sub-path under the shared checkpoint dir for written tables; see :func:`drop_scratch`."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the written tables that this process made under the shared folder, once no DataFrame over them is in use any more
+    (a long session calls it between jobs). Returns how many paths were handed out since the last call."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
