@@ -274,3 +274,24 @@ def test_attention_gradient_is_the_slope_of_the_loss():
         down = loss()
         w[k][at] += 1e-2
         assert (up - down) / 2e-2 == pytest.approx(g[k][at], rel=0.05, abs=1e-4), k
+
+
+def test_a_long_word_costs_the_sum_of_its_positions():
+    from tokscope.llm import attention as att
+    sub = lm.Subwords(lm.tokenizer_path())
+    rng = np.random.default_rng(6)
+    text = "".join(chr(c) for c in rng.integers(97, 123, 10_000))
+    ids, _ = sub.of([text.encode()])
+    w = {k: v + rng.normal(size=v.shape).astype(np.float32) * 0.3 for k, v in att.initial(rng).items()}
+    slot, escape = att.vocabulary(ids[:len(ids) // 2], sub.begins)
+    m = att.Model(slot, escape, w).ready()
+    row = {"words": lm._packed(text.encode()), "places": lm._packed(np.zeros(1, np.uint32).tobytes()), "lengths": [1]}
+    t = np.append(slot[ids], att.END)
+    x = np.append(att.END, t[:-1])
+    log_p, log_b = att.score(m, x, t, np.array([len(t)]))
+    word = log_p[:-1].astype(float).sum() + escape[ids].sum() - log_b[0] + log_b[-1]
+    end = log_p[-1].astype(float) - log_b[-1]
+    assert word < -10_000
+    for total, mix in ((0, 1.0), (7, lm.MIX)):
+        _, _, _, score = lm.block_scores(m, sub, row, np.zeros(1, np.int64), total, 3, 0)[:, 0]
+        assert score == pytest.approx((word + end + 2 * np.log(mix)) / np.log(10), rel=1e-6)
