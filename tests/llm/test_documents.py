@@ -283,7 +283,7 @@ def test_a_long_word_costs_the_sum_of_its_positions():
     text = "".join(chr(c) for c in rng.integers(97, 123, 10_000))
     ids, _ = sub.of([text.encode()])
     w = {k: v + rng.normal(size=v.shape).astype(np.float32) * 0.3 for k, v in att.initial(rng).items()}
-    slot, escape = att.vocabulary(ids[:len(ids) // 2], sub.begins)
+    slot, escape = att.vocabulary(np.bincount(ids[:len(ids) // 2], minlength=len(sub.begins)), sub.begins)
     m = att.Model(slot, escape, w).ready()
     row = {"words": lm._packed(text.encode()), "places": lm._packed(np.zeros(1, np.uint32).tobytes()), "lengths": [1]}
     t = np.append(slot[ids], att.END)
@@ -295,3 +295,26 @@ def test_a_long_word_costs_the_sum_of_its_positions():
     for total, mix in ((0, 1.0), (7, lm.MIX)):
         _, _, _, score = lm.block_scores(m, sub, row, np.zeros(1, np.int64), total, 3, 0)[:, 0]
         assert score == pytest.approx((word + end + 2 * np.log(mix)) / np.log(10), rel=1e-6)
+
+
+def test_attention_learns_from_documents_outside_the_start_sample(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLE_DOCS", 0)           # the start sees no document: all that is known comes from the whole table
+    docs = spark.createDataFrame([(i, "uno dos tres cuatro cinco seis siete ocho nueve diez " * 40) for i in range(400)], "doc_id bigint, text string")
+    path = lm.tokenizer_path()
+    made = lm.written(lm.blocks(docs.repartition(3)), "lm-test-blocks").cache()
+    sub = lm.Subwords(path)
+    train = [r for r in docs.collect() if brute.crc(r.doc_id, 7) != 2]
+    want = np.zeros(len(sub.begins), np.int64)
+    for r in train:
+        np.add.at(want, sub.of(lm.words_of(r.text))[0], 1)
+    assert (lm.subword_counts(made, path, len(want)) == want).all()
+    slot = np.arange(len(want) + 1)
+    size = sum(sum((p[:, 1:] >= 0).sum() for p in lm.block_windows(slot, sub, b.asDict(), t)) for b in made.collect() for t in range(lm.PASSES))
+    assert size == want.sum() + len(train)              # every position once
+    m = lm.fit(docs, made, path)
+    ids, _ = sub.of(lm.words_of(train[0].text))
+    assert (m.slot[ids] != lm.att.BEGIN).all() and (m.slot[ids] != lm.att.GO_ON).all()
+    t = np.append(m.slot[ids], lm.att.END)
+    known = lm.att.score(m, np.append(lm.att.END, t[:-1]), t, np.array([len(t)]))[0].mean()
+    start = lm.att.Model(m.slot, m.escape_log, lm.att.initial(np.random.default_rng(1))).ready()
+    assert known > lm.att.score(start, np.append(lm.att.END, t[:-1]), t, np.array([len(t)]))[0].mean() + 1
