@@ -159,3 +159,11 @@ def test_batches_equal_one_at_a_time_on_many_corpora():
         assert got == exp[:len(got)] and len(got) == len(exp), (seed, top)
         merges += len(got)
     assert rounds < 0.8 * merges
+
+
+def test_queries_train_to_the_frequency_floor(spark, tmp_path):
+    from tokscope.plans import training
+    words = [a + b for a in "abcdefghijklmABCDEFGHIJKLM" for b in "nopqrstuvwxyzNOPQRSTUVWXYZ"]     # no two pairs chain
+    rows = [(i, " ".join(words), "en", "s", 3 * len(words)) for i in range(bpe.MIN_FREQUENCY)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    assert len(training.trained_model(spark, str(tmp_path)).merge_list) == len(words)

@@ -39,6 +39,7 @@ VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 5
 # -----------------------------------------------------------------------------
 TOP_K = 1024
+MAX_BATCH = 128     # merges rewritten in a round: one nested expression each, which overflows the planner's stack at several hundred
 CHECKPOINT_EVERY = 8
 
 CODE_POINT_RE = "(?s)."
@@ -196,7 +197,7 @@ def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = M
         head = [(r["l"], r["r"], int(r["cnt"])) for r in head if r["cnt"] >= min_frequency]
         if not head:
             break
-        batch = accept_batch(head, known, complete)[: budget - len(merges)]
+        batch = accept_batch(head, known, complete)[: min(MAX_BATCH, budget - len(merges))]
         merges += batch
         known.update(l + r for l, r, _ in batch)
         rounds += 1

@@ -11,10 +11,6 @@ from tokscope.session import input_key, scratch_path
 from tokscope.sinks import files
 from tokscope.sources import corpus
 
-#: merges learned by the registered queries (the vocabulary-size budget of
-#: the reference, 32 000, needs thousands of rounds; see README)
-QUERY_MAX_MERGES = 200
-
 #: models of this process, by application and input files (with sizes and times)
 _MODELS: dict[tuple, bpe.BpeModel] = {}
 
@@ -26,7 +22,8 @@ def training_words(spark: SparkSession, sf_dir: str):
     return bpe.word_frequencies(docs)
 
 
-def trained_model(spark: SparkSession, sf_dir: str, max_merges: int = QUERY_MAX_MERGES) -> bpe.BpeModel:
+def trained_model(spark: SparkSession, sf_dir: str, max_merges: int | None = None) -> bpe.BpeModel:
+    """The model of the whole training: to the vocabulary size or the frequency floor of the trainer, unless ``max_merges`` is given."""
     key = (*input_key(spark, f"{sf_dir}/documents.parquet"), max_merges)
     if key not in _MODELS:
         m = bpe.train(training_words(spark, sf_dir), max_merges=max_merges)
