@@ -46,6 +46,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return [f"_{n}_{tag}" for n in names]
 
 
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with its rows' places 1, 2, ... in ``order``: a range-partitioned sort, written once, and one offset a partition."""
+    part, at, first = fresh(df, "part", "at", "first")
+    place = F.monotonically_increasing_id()                   # partition in the upper bits, row within it in the lower 33
+    rows = settle(df.orderBy(*order).withColumn(part, F.shiftright(place, 33).cast("int")).withColumn(at, place.bitwiseAND((1 << 33) - 1)))
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy(part).count().collect())      # one row a partition
+    before, offsets = 0, []
+    for p, n in sizes:
+        offsets.append((p, before))
+        before += n
+    starts = df.sparkSession.createDataFrame(offsets, f"{part} int, {first} bigint")
+    return rows.join(F.broadcast(starts), part).withColumn(name, F.col(first) + F.col(at) + 1).drop(part, at, first)
+
+
 def batch(schema: pa.Schema, cols: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
