@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tokscope.llm import chat_snapshots, codes, collisions, langid, licenses, lm, mixing, packing, quality, resampling, segments, simhash
+from tokscope.llm import chat_snapshots, codes, collisions, langid, licenses, lm, mixing, ngram_join, packing, quality, resampling, segments, simhash
 from tokscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op8_licenses": on(licenses.op8_licenses, "documents"),
         "op9_quality": on(quality.op9_quality, "documents", "labels"),
         "op10_topk": on(segments.op10_topk, "embeddings"),
+        "op11_ngram_join": on(ngram_join.op11_ngram_join, "documents"),
         "op12_resampling": on(resampling.op12_resampling, "documents", "benchmark"),
         "op13_codes": on(codes.op13_codes, "embeddings"),
         "pipeline": corpus_pipeline.run,
@@ -36,5 +37,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     out = {"op3_mixing": mixing.ORACLE_SQL, "op6_chat": chat_snapshots.ORACLE_SQL, "op10_topk": segments.ORACLE_SQL,
-           "op12_resampling": resampling.ORACLE_SQL, "op13_codes": codes.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+           "op11_ngram_join": ngram_join.ORACLE_SQL, "op12_resampling": resampling.ORACLE_SQL, "op13_codes": codes.ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
     return {k: v for k, v in out.items() if v}
