@@ -270,7 +270,7 @@ def digest(books: np.ndarray) -> str:
 def op13_codes(rows: DataFrame) -> DataFrame:
     """vec_id, code, error, label_error, codebooks_sha256 of every row that can be coded."""
     coded, books = compress(rows)
-    code = F.concat(*(F.lower(F.lpad(F.hex(F.col("codes")[p]), 2, "0")) for p in range(PARTS)))
+    code = F.concat(*(F.lower(F.lpad(F.hex(F.get("codes", F.lit(p))), 2, "0")) for p in range(PARTS)))
     per = coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "same")
     return (coded.join(per, F.col("label").eqNullSafe(F.col("same")))
             .select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256")))
