@@ -1,48 +1,60 @@
-"""Byte-pair-encoding training as an iterative Spark job.
+"""Byte-pair-encoding training as an iterative Spark job that makes many merges a round and equals one-at-a-time training.
 
-State: ``words(word, freq, seg STRING)`` -- the distinct training words
-(script pre-tokens, split again into letter runs / symbol runs) with their
-corpus frequency; ``seg`` is the current segmentation with symbols joined by
-a space (words never contain whitespace), initially one symbol per code
-point.
+State, kept between rounds as tables: ``words(word, freq, seg)``, the distinct training words (script pre-tokens, split again into
+letter runs / symbol runs) with their corpus frequency and current symbols joined by spaces (words never contain
+whitespace), and the pair index ``pairs(l, r, cnt)``, the counts of adjacent pairs that reach the minimum frequency.
 
 One round:
-  1. adjacent pairs of every word, weighted by the word frequency, summed per
-     pair (partial aggregation: hot pairs combine map-side);
-  2. the head of the order (count desc, left asc, right asc) -- a bounded
-     top-K, taken with TakeOrderedAndProject, never a full sort;
-  3. the exact batch of merges for the round (see :func:`accept_batch`);
-  4. every word is rewritten with one ``regexp_replace`` per accepted merge
-     (codegen'd; Java's left-to-right, non-overlapping replacement is exactly
-     the merge rule, self-pairs included; accepted pairs never chain, so
-     they cannot overlap and their order does not matter), no join.
-The words table is persisted between rounds and checkpointed (reliable, to
-``spark.checkpoint.dir``) every few rounds to cut lineage.
-
-Pair counts use adjacent positions (``a a a`` counts (a, a) twice); merging
-replaces non-overlapping occurrences from left to right.
+  1. the head of the pair order (count desc, left asc, right asc), a bounded top-K that is sent to the tasks;
+  2. every word reports the head's pairs that must wait in it (:func:`waiting`); a pair that waits nowhere is merged now;
+  3. words that hold a merged pair are rewritten where they are, without a join or a shuffle;
+  4. only the rewritten words send signed count changes; they are added to the pair index, which is hash-partitioned by pair
+     and stays where it is (the union of index and changes is co-partitioned, so the index is never shuffled).
+Every ``SNAPSHOT_EVERY`` rounds both tables are written to the shared folder, which cuts the lineage. Words that hold no pair of the
+index any more can never change again (counts only fall); they leave the loop there and come back at the end.
+
+Why this equals one merge at a time. Call pair p=(l, r) earlier than q if its count is higher, or equal and (l, r) comes first. In
+one-at-a-time training a merge acts on all its occurrences at once, so two occurrences of a string that becomes a symbol develop
+alike inside, as long as no merge crosses their ends: every symbol has one decomposition and all its occurrences appear in one
+step. Hence (a) the count of a pair never rises once its symbols exist; (b) if l's left neighbour x is replaced by a longer symbol X,
+every occurrence of (X, l) was one of (x, l), so (X, l) is never more frequent, and the same holds on the right. Now let p stand
+in a word as ... x l r y ... If (r, y) is rarer than p, no later form (r, Y) can come before p. If it is as frequent, the left
+symbol r decides, and p comes first if l < r. If (x, l) is rarer than p, no later form (X, l) comes before p. If it is as frequent, X
+may be any run of symbols that ends in x, and p comes first if l < X for all of them. A pair of equal symbols asks for rarer
+neighbours. If this holds at every occurrence, no earlier merge touches p, its count is final, and merging it now gives the
+same words as merging it at its turn. Pairs that touch each other can't both pass, so all that pass are merged together; the first
+pair of the order always passes. A pair beyond the head counts as its last. The order of the merges is restored at the end
+(:func:`in_order`): counts fall, and among equal counts the smallest pair whose symbols exist comes next.
+
+Pair counts use adjacent positions (``a a a`` counts (a, a) twice); merging replaces non-overlapping occurrences from left to right.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import heapq
+from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokscope.functions.pretok import model_split, pretokens
 from tokscope.functions.text import SPECIAL_TOKENS
-from tokscope.session import ensure_checkpoint_dir, scratch_path
+from tokscope.session import committed, ensure_checkpoint_dir, scratch_path
 
 # --- fixed values: trainer settings of the reference ------------------------
 VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 5
 # -----------------------------------------------------------------------------
-TOP_K = 1024
-MAX_BATCH = 128     # merges rewritten in a round: one nested expression each, which overflows the planner's stack at several hundred
-CHECKPOINT_EVERY = 8
+HEAD = 1 << 17          # pairs sent to the tasks in a round, at most
+SNAPSHOT_EVERY = 16     # rounds between written tables
 
 CODE_POINT_RE = "(?s)."
+STATE = "word string, freq bigint, seg string, was string"
 
 
 def word_frequencies(docs: DataFrame, text_col: str = "text", pretokenize: bool = True) -> DataFrame:
@@ -83,148 +95,301 @@ def pair_counts(state: DataFrame) -> DataFrame:
             .agg(F.sum("freq").cast("bigint").alias("cnt")))
 
 
-_META = set("\\^$.|?*+()[]{}")
+def count_changes(state: DataFrame) -> DataFrame:
+    """l, r, cnt: what the words that were rewritten in this round add to the counts and take from them."""
+    now = state.where("was IS NOT NULL")
+    both = now.select("freq", "seg").unionByName(now.select((-F.col("freq")).alias("freq"), F.col("was").alias("seg")))
+    return pair_counts(both).where("cnt <> 0")
+
+
+# -- within a word -----------------------------------------------------------------------------------------------------
+def waiting(syms: list[str], head: dict[tuple[str, str], int], last: int, found: set[tuple[str, str]]) -> None:
+    """Add to ``found`` the pairs of ``head`` that another pair of this word may come before. ``last``: the count that a pair
+    outside the head may have (0 if the head holds all)."""
+    pairs = list(zip(syms, syms[1:]))
+    counts = [head.get(p, 0) for p in pairs]
+    for i, (p, c) in enumerate(zip(pairs, counts)):
+        if not c or p in found:
+            continue
+        l, r = p
+        floor = last if c == last else 0
+        after = max(counts[i + 1], floor) if i + 1 < len(pairs) else 0
+        before = max(counts[i - 1], floor) if i else 0
+        if l == r:
+            if (after >= c and pairs[i + 1] != p) or (before >= c and pairs[i - 1] != p):
+                found.add(p)
+        elif after > c or before > c or (after == c and not l < r):
+            found.add(p)
+        elif before == c:
+            x = ""
+            for s in reversed(syms[:i]):
+                x = s + x
+                if not l < x:
+                    found.add(p)
+                    break
+
+
+def merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
+    """All occurrences of ``pairs`` replaced from left to right."""
+    out, i, n = [], 0, len(syms)
+    while i < n:
+        if i + 1 < n and (syms[i], syms[i + 1]) in pairs:
+            out.append(syms[i] + syms[i + 1])
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
+
+
+def in_order(merges: Iterable[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
+    """Merges (left, right, count) in the order of one-at-a-time training."""
+    out = []
+    for _, same in groupby(sorted(merges, key=lambda m: -m[2]), key=lambda m: m[2]):
+        level = list(same)
+        made = {l + r for l, r, _ in level}
+        needs = {m: len({m[0], m[1]} & made) for m in level}
+        then = defaultdict(list)
+        for m in level:
+            for s in {m[0], m[1]} & made:
+                then[s].append(m)
+        ready = [m for m in level if not needs[m]]
+        heapq.heapify(ready)
+        while ready:
+            m = heapq.heappop(ready)
+            out.append(m)
+            for x in then[m[0] + m[1]]:
+                needs[x] -= 1
+                if not needs[x]:
+                    heapq.heappush(ready, x)
+    return out
+
+
+# -- rounds ------------------------------------------------------------------------------------------------------------
+def mergeable(state: DataFrame, head: list[tuple[str, str, int]], last: int) -> list[tuple[str, str, int]]:
+    """The pairs of ``head`` that wait in no word; one pass, of which only places in the head come back."""
+    place = {(l, r): i for i, (l, r, _) in enumerate(head)}
+    sent = state.sparkSession.sparkContext.broadcast({(l, r): c for l, r, c in head})
+    schema = pa.schema([("l", pa.string()), ("r", pa.string())])
+
+    def run(batches):
+        known, found = sent.value, set()
+        for b in batches:
+            for seg in b.column(0).to_pylist():
+                waiting(seg.split(" "), known, last, found)
+        yield pa.RecordBatch.from_pydict({"l": [l for l, _ in found], "r": [r for _, r in found]}, schema=schema)
+
+    held = state.where(F.col("seg").contains(" ")).select("seg").mapInArrow(run, "l string, r string").distinct().collect()
+    sent.unpersist()
+    wait = {place[x.l, x.r] for x in held} - {0}
+    return [p for i, p in enumerate(head) if i not in wait]
+
+
+def rewrite(state: DataFrame, merges: Iterable[tuple[str, str, int]]) -> DataFrame:
+    """One round's merges in every word; ``was`` keeps the symbols of words that change."""
+    sent = state.sparkSession.sparkContext.broadcast({(l, r) for l, r, *_ in merges})
+    schema = pa.schema([("word", pa.string()), ("freq", pa.int64()), ("seg", pa.string()), ("was", pa.string())])
+
+    def run(batches):
+        pairs = sent.value
+        for b in batches:
+            seg, was = [], []
+            for s in b.column(2).to_pylist():
+                syms = s.split(" ")
+                new = " ".join(merged(syms, pairs)) if any(p in pairs for p in zip(syms, syms[1:])) else s
+                seg.append(new)
+                was.append(s if new != s else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seg, pa.string()), pa.array(was, pa.string())], schema=schema)
+
+    return state.select("word", "freq", "seg").mapInArrow(run, STATE)
+
+
+def alive(state: DataFrame, pairs: set[tuple[str, str]] | None) -> DataFrame:
+    """``state`` with a column ``live``: whether a word can still change. ``pairs``: all pairs of the index, or None if they are
+    too many to send; then only words of one symbol are known to be finished."""
+    more = F.col("seg").contains(" ")
+    if pairs is None:
+        return state.select("word", "freq", "seg", more.alias("live"))
+    sent = state.sparkSession.sparkContext.broadcast(pairs)
+
+    def holds(seg: str) -> bool:
+        syms = seg.split(" ")
+        return any(p in sent.value for p in zip(syms, syms[1:]))
+
+    @F.pandas_udf("boolean")
+    def live(seg: pd.Series) -> pd.Series:
+        return seg.map(holds).astype(bool)
+
+    return state.select("word", "freq", "seg", live("seg").alias("live"))
 
 
-def _rx_quote(sym: str) -> str:
-    return "".join("\\" + ch if ch in _META else ch for ch in sym)
+@dataclass
+class BpeModel:
+    vocab: DataFrame          # token, id, is_special
+    merges: DataFrame         # rank, left, right, merged, cnt
+    segmentation: DataFrame   # word, freq, syms ARRAY (training words after all merges)
+    merge_list: list[tuple[str, str]]  # bounded by vocab_size, for encoding tasks
+    rounds: int
+    scanned: list[tuple[int, int]] = field(default_factory=list)   # (round, words still in the loop) at each snapshot
 
 
-def _repl_quote(sym: str) -> str:
-    return sym.replace("\\", "\\\\").replace("$", "\\$")
+class _Run:
+    """The tables of a training run under one folder: snapshots of both states, and, if ``journal``, every round's merges.
 
+    A snapshot is valid once its marker, written last, is there; a journal entry once its own write is committed. A run that starts on
+    a folder with snapshots takes up the last valid one, repeats the journal's rounds after it, and goes on."""
 
-def accept_batch(head: list[tuple[str, str, int]], known_merged: set[str], complete: bool = False) -> list[tuple[str, str, int]]:
-    """The merges one-at-a-time BPE would make next, as many as provably safe.
+    def __init__(self, spark: SparkSession, folder: str, journal: bool):
+        self.spark, self.folder, self.journal = spark, folder, journal
 
-    ``head`` is the top of the pair order (count desc, l, r); ``complete`` says that it holds every pair that may still be
-    merged. Two pairs chain if the right symbol of one is the left symbol of the other; only then can they overlap in a
-    word. The longest prefix is taken whose pairs do not chain with each other, are not self-pairs and whose merged strings
-    are new. A pair that these merges create is a chaining pair of the head before the merge, so it is counted no higher than
-    the first pair that was not taken: all taken pairs counted higher are safe. A taken pair with just that count is safe if
-    it comes, in the order of ties, before every pair that the tied chaining pairs can turn into; a cut-off head does not show
-    them all, so there ties are left for the next round. The first pair is always taken.
-    """
-    if not head:
-        return []
-    l0, r0, _ = head[0]
-    if l0 == r0 or l0 + r0 in known_merged:
-        return head[:1]
-    taken, lefts, rights, made = [], set(), set(), set()
-    for l, r, c in head:
-        if l == r or l in rights or r in lefts or l + r in known_merged or l + r in made or l in made or r in made:
-            break
-        taken.append((l, r, c))
-        lefts.add(l)
-        rights.add(r)
-        made.add(l + r)
-    rest = head[len(taken):]
-    if not rest and complete:
-        return taken
-    bound = rest[0][2] if rest else head[-1][2]
-    safe = [p for p in taken if p[2] > bound]
-    if complete or (rest and head[-1][2] < bound):
-        by_left, by_right = {}, {}
-        for l, r, _ in taken:
-            by_left.setdefault(l, []).append(l + r)
-            by_right.setdefault(r, []).append(l + r)
-        turned = [x for l, r, c in rest if c == bound
-                  for x in [(l, m) for m in by_left.get(r, ())] + [(m, r) for m in by_right.get(l, ())]]
-        first = min(turned, default=None)
-        for p in taken[len(safe):]:
-            if first is not None and (p[0], p[1]) >= first:
-                break
-            safe.append(p)
-    return safe or taken[:1]
+    def at(self, name: str, number: int | None = None) -> str:
+        return f"{self.folder}/{name}" + ("" if number is None else f"/round-{number:06d}")
 
+    def numbers(self, name: str) -> list[int]:
+        return sorted(int(p.rsplit("-", 1)[1]) for p in committed(self.spark, self.at(name)))
 
-def rewrite(state: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
-    """Apply one round's merges to every word."""
-    seg = F.col("seg")
-    for l, r, _ in merges:
-        pattern = f"(?<=^| ){_rx_quote(l)} {_rx_quote(r)}(?= |$)"
-        seg = F.regexp_replace(seg, pattern, _repl_quote(l + r))
-    return state.select("word", "freq", seg.alias("seg"))
+    def write(self, df: DataFrame, name: str, number: int) -> DataFrame:
+        path = self.at(name, number)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def record(self, number: int, merges: list[tuple[str, str, int]]) -> None:
+        rows = [(number, l, r, c) for l, r, c in merges]
+        self.spark.createDataFrame(rows, "round int, l string, r string, cnt bigint").coalesce(1).write.mode("overwrite").parquet(self.at("journal", number))
 
-@dataclass
-class BpeModel:
-    vocab: DataFrame          # token, id, is_special
-    merges: DataFrame         # rank, left, right, merged, cnt
-    segmentation: DataFrame   # word, freq, syms ARRAY (training words after all merges)
-    merge_list: list[tuple[str, str]]  # bounded by vocab_size, for encoding tasks
-    rounds: int
+    def recorded(self) -> dict[int, list[tuple[str, str, int]]]:
+        out = defaultdict(list)
+        paths = [self.at("journal", n) for n in self.numbers("journal")] if self.journal else []
+        for x in self.spark.read.parquet(*paths).collect() if paths else []:           # as many rows as merges
+            out[x["round"]].append((x.l, x.r, x.cnt))
+        return out
 
 
 def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
           specials: list[str] = SPECIAL_TOKENS, max_merges: int | None = None,
-          top_k: int = TOP_K, checkpoint_every: int = CHECKPOINT_EVERY) -> BpeModel:
+          head_size: int = HEAD, snapshot_every: int = SNAPSHOT_EVERY, folder: str | None = None, max_rounds: int | None = None) -> BpeModel:
     """Train BPE on ``words(word, freq)``.
 
-    Vocabulary: specials (ids 0..), then the alphabet in code-point order,
-    then merged tokens in merge order. Stops when the vocabulary is full,
-    when ``max_merges`` merges were made, or when the best pair count is
-    below ``min_frequency``.
+    Vocabulary: specials (ids 0..), then the alphabet in code-point order, then merged tokens in merge order. Stops when the
+    vocabulary is full, when ``max_merges`` merges were made, or when the best pair count is below ``min_frequency``.
+    With a ``folder`` (shared by all executors) the run can be taken up again by a later call with the same arguments, in this or
+    another session. ``max_rounds`` stops early, for tests of just that; the model then has the merges that are final by then.
     """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
-    # Each round is a small two-stage job; adaptive re-planning per stage costs more than it saves here (measured ~25 % per
-    # round). The loop has a session of its own, so nobody else's queries see the setting.
+    # Each round is two small jobs; adaptive re-planning per stage costs more than it saves here (measured ~25 % per round). The
+    # loop has a session of its own, so nobody else's queries see the setting.
     own = spark.newSession()
     own.conf.set("spark.sql.adaptive.enabled", "false")
-    start, letters, end = (scratch_path(spark, f"bpe-{x}") for x in ("words", "alphabet", "segmentation"))
-    initial_state(words).write.parquet(start)
-    state = own.read.parquet(start).persist()
-    state.select(F.explode(symbols(F.col("seg"))).alias("token")).distinct().write.parquet(letters)
-    alphabet = spark.read.parquet(letters)
+    run = _Run(own, folder or scratch_path(spark, "bpe"), folder is not None)
+    parts = int(own.conf.get("spark.sql.shuffle.partitions"))
+    start = run.at("words")
+    if not run.numbers("done"):
+        initial_state(words).write.mode("overwrite").parquet(start)
+        own.read.parquet(start).select(F.explode(symbols(F.col("seg"))).alias("token")).distinct().write.mode("overwrite").parquet(run.at("alphabet"))
+        run.write(own.createDataFrame([(0,)], "round int"), "done", 0)
+    first = own.read.parquet(start)
+    alphabet = spark.read.parquet(run.at("alphabet"))
     n_alpha = alphabet.count()
     budget = vocab_size - len(specials) - n_alpha
     if max_merges is not None:
         budget = min(budget, max_merges)
-    # (An incremental pair table -- previous counts + delta of changed words --
-    # was measured 4x slower per round: its lineage nests every round and
-    # re-planning it dominates. Recounting from the cached state is cheaper.)
-    merges: list[tuple[str, str, int]] = []
-    known: set[str] = set()
-    rounds = 0
-    prev = None
-    while len(merges) < budget:
-        head = (pair_counts(state).orderBy(F.desc("cnt"), "l", "r").limit(top_k).collect())
-        if prev is not None:  # state is materialised now; its parent can go
-            prev.unpersist()
-            prev = None
-        complete = len(head) < top_k or head[-1]["cnt"] < min_frequency
-        head = [(r["l"], r["r"], int(r["cnt"])) for r in head if r["cnt"] >= min_frequency]
-        if not head:
-            break
-        batch = accept_batch(head, known, complete)[: min(MAX_BATCH, budget - len(merges))]
-        merges += batch
-        known.update(l + r for l, r, _ in batch)
-        rounds += 1
-        nxt = rewrite(state, batch)
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-            state.unpersist()
+
+    journal = run.recorded()
+    number = max((n for n in run.numbers("done") if n in journal or n == 0), default=0)
+    merges = [m for n in sorted(journal) if n <= number for m in journal[n]]
+    if number:
+        state, pairs = (own.read.parquet(run.at(x, number)) for x in ("state", "pairs"))
+        pairs = pairs.repartition(parts, "l", "r").persist()
+    else:
+        state = first.withColumn("was", F.lit(None).cast("string"))
+        pairs = pair_counts(first).where(F.col("cnt") >= min_frequency).persist()
+    retired = [n for n in run.numbers("retired") if n <= number]
+    scanned, old = [], []
+    while max_rounds is None or number < max_rounds:
+        if number + 1 not in journal:
+            top = pairs.orderBy(F.desc("cnt"), "l", "r").limit(min(head_size, max(1, budget)) + 1).collect()
+            for x in old:                                     # both tables are held now; those before can go
+                x.unpersist()
+            old = []
+            if not top:
+                break
+            final = budget - sum(1 for m in merges if m[2] > top[0].cnt)
+            if final <= 0:
+                break
+            take = min(head_size, final)
+            complete = len(top) <= take
+            head = [(x.l, x.r, x.cnt) for x in top[:take]]
+            now = mergeable(state, head, 0 if complete else head[-1][2])
         else:
-            nxt = nxt.persist()
-            prev = state
-        state = nxt
-    state.write.parquet(end)
-    for done in (state, prev):
-        if done is not None:
-            done.unpersist()
-    state = spark.read.parquet(end)
+            now = journal[number + 1]
+        number += 1
+        if run.journal and number not in journal:
+            run.record(number, now)
+        merges += now
+        old += [state, pairs]
+        state = rewrite(state, now).persist()
+        pairs = (pairs.unionByName(count_changes(state)).groupBy("l", "r").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+                 .where(F.col("cnt") >= min_frequency).persist())
+        if number % snapshot_every == 0:
+            held = pairs.limit(head_size + 1).collect()
+            known = {(x.l, x.r) for x in held} if len(held) <= head_size else None
+            split = alive(state, known).persist()
+            left, gone = split.where("live"), split.where("NOT live")
+            live = left.count()
+            scanned.append((number, live))
+            run.write(gone.select("word", "freq", "seg"), "retired", number)
+            retired.append(number)
+            tasks = max(1, min(parts, 1 + live // 4096))
+            kept = run.write(left.coalesce(tasks).select("word", "freq", "seg", F.lit(None).cast("string").alias("was")), "state", number)
+            index = run.write(pairs, "pairs", number)
+            run.write(own.createDataFrame([(number,)], "round int"), "done", number)
+            for x in (*old, state, pairs, split):
+                x.unpersist()
+            state, pairs, old = kept, index.repartition(parts, "l", "r").persist(), []
+    ordered = in_order(merges)
+    if max_rounds is not None and number >= max_rounds:
+        best = pairs.agg(F.max("cnt")).first()[0] or 0
+        ordered = [m for m in ordered if m[2] > best]         # what no remaining pair can come before
+    merges = ordered[:max(0, budget)]
+    finished = [own.read.parquet(run.at("retired", n)) for n in retired]
+    end = state.select("word", "freq", "seg")
+    for x in finished:
+        end = end.unionByName(x.select("word", "freq", "seg"))
+    end = segmented(first, merges) if len(merges) < len(ordered) or max_rounds is not None else end
+    end.write.mode("overwrite").parquet(run.at("segmentation"))
+    for x in (state, pairs, *old):
+        x.unpersist()
     merges_df = spark.createDataFrame(
         [(i, l, r, l + r, c) for i, (l, r, c) in enumerate(merges)],
         "rank int, left string, right string, merged string, cnt bigint")
+    model = model_of(spark, specials, alphabet, n_alpha, merges_df, [(l, r) for l, r, _ in merges],
+                     spark.read.schema("word string, freq bigint, seg string").parquet(run.at("segmentation")))
+    model.rounds, model.scanned = number, scanned
+    return model
+
+
+def segmented(words: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
+    """word, freq, seg after ``merges`` alone, where more were made than the vocabulary takes: each word on its own, by rank."""
+    from tokscope.operators.encode import encode_word
+    sent = words.sparkSession.sparkContext.broadcast({(l, r): i for i, (l, r, _) in enumerate(merges)})
+
+    @F.pandas_udf("string")
+    def seg(word: pd.Series) -> pd.Series:
+        ranks = sent.value
+        return word.map(lambda w: " ".join(encode_word(w, ranks, set(w))))
+
+    return words.select("word", "freq", seg("word").alias("seg"))
+
+
+def model_of(spark: SparkSession, specials: list[str], alphabet: DataFrame, n_alpha: int, merges: DataFrame,
+             merge_list: list[tuple[str, str]], segmentation: DataFrame) -> BpeModel:
+    from tokscope.operators.vocab import dense_ids
     sp = spark.createDataFrame([(t, i, True) for i, t in enumerate(specials)],
                                "token string, id bigint, is_special boolean")
-    from tokscope.operators.vocab import dense_ids
     alpha = dense_ids(alphabet, "token", start=len(specials)).withColumn("is_special", F.lit(False))
-    merged_tokens = merges_df.select(F.col("merged").alias("token"),
-                                     (F.col("rank") + len(specials) + n_alpha).cast("bigint").alias("id"),
-                                     F.lit(False).alias("is_special"))
-    vocab = sp.unionByName(alpha).unionByName(merged_tokens)
-    segmentation = state.select("word", "freq", symbols(F.col("seg")).alias("syms"))
-    return BpeModel(vocab=vocab, merges=merges_df, segmentation=segmentation,
-                    merge_list=[(l, r) for l, r, _ in merges], rounds=rounds)
+    merged_tokens = merges.select(F.col("merged").alias("token"),
+                                  (F.col("rank") + len(specials) + n_alpha).cast("bigint").alias("id"),
+                                  F.lit(False).alias("is_special"))
+    return BpeModel(vocab=sp.unionByName(alpha).unionByName(merged_tokens), merges=merges,
+                    segmentation=segmentation.select("word", "freq", symbols(F.col("seg")).alias("syms")), merge_list=merge_list, rounds=0)

@@ -87,6 +87,16 @@ def drop_scratch(spark: SparkSession) -> int:
     return n
 
 
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """Sub-folders of ``path`` that hold a finished write, in any file system that Spark reads."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [x.getPath() for x in fs.listStatus(top) if x.isDirectory()]
+    return [p.toString() for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back: branches that share it read pruned columns
     instead of running its plan again, and a lost executor costs no recomputation."""
