@@ -51,7 +51,7 @@ VOCAB_SIZE = 32_000
 MIN_FREQUENCY = 5
 # -----------------------------------------------------------------------------
 HEAD = 1 << 17          # pairs sent to the tasks in a round, at most
-SNAPSHOT_EVERY = 16     # rounds between written tables
+SNAPSHOT_EVERY = 8      # rounds between written tables
 
 CODE_POINT_RE = "(?s)."
 STATE = "word string, freq bigint, seg string, was string"
@@ -85,20 +85,22 @@ def symbols(seg: Column) -> Column:
     return F.split(seg, " ")
 
 
+def _pairs_sql() -> str:
+    left, right = (f"slice(split(seg, ' '), {i}, size(split(seg, ' ')) - 1)" for i in (1, 2))
+    return f"inline(arrays_zip({left}, {right})) AS (l, r)"
+
+
+PAIRS_SQL = _pairs_sql()
+
+
 def pair_counts(state: DataFrame) -> DataFrame:
     """l, r, cnt: adjacent symbol pairs weighted by word frequency."""
-    syms = symbols(F.col("seg"))
-    n = F.size(syms)
-    zipped = F.arrays_zip(F.slice(syms, 1, n - 1).alias("l"), F.slice(syms, 2, n - 1).alias("r"))
-    return (state.where(F.col("seg").contains(" ")).select("freq", F.explode(zipped).alias("p"))
-            .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r"))
-            .agg(F.sum("freq").cast("bigint").alias("cnt")))
+    return state.where("contains(seg, ' ')").selectExpr("freq", PAIRS_SQL).groupBy("l", "r").agg(F.expr("CAST(sum(freq) AS BIGINT) AS cnt"))
 
 
 def count_changes(state: DataFrame) -> DataFrame:
     """l, r, cnt: what the words that were rewritten in this round add to the counts and take from them."""
-    now = state.where("was IS NOT NULL")
-    both = now.select("freq", "seg").unionByName(now.select((-F.col("freq")).alias("freq"), F.col("was").alias("seg")))
+    both = state.where("was IS NOT NULL").selectExpr("inline(array(struct(freq AS f, seg AS s), struct(-freq AS f, was AS s))) AS (freq, seg)")
     return pair_counts(both).where("cnt <> 0")
 
 
@@ -329,8 +331,8 @@ def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = M
         merges += now
         old += [state, pairs]
         state = rewrite(state, now).persist()
-        pairs = (pairs.unionByName(count_changes(state)).groupBy("l", "r").agg(F.sum("cnt").cast("bigint").alias("cnt"))
-                 .where(F.col("cnt") >= min_frequency).persist())
+        pairs = (pairs.union(count_changes(state)).groupBy("l", "r").agg(F.expr("CAST(sum(cnt) AS BIGINT) AS cnt"))
+                 .where(f"cnt >= {int(min_frequency)}").persist())
         if number % snapshot_every == 0:
             held = pairs.limit(head_size + 1).collect()
             known = {(x.l, x.r) for x in held} if len(held) <= head_size else None
