@@ -64,6 +64,35 @@ def batch(schema: pa.Schema, cols: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
+TEXT_ROWS = 128     # texts of an Arrow batch that are Python strings at a time
+
+
+def texts(column: pa.Array | pa.ChunkedArray) -> Iterator:
+    """The values of a column one by one, a few of them as Python objects at a time."""
+    for i in range(0, len(column), TEXT_ROWS):
+        yield from column.slice(i, TEXT_ROWS).to_pylist()
+
+
+class Memo:
+    """A memo of two generations with at most ``size`` entries each: what is asked for again outlives the rest."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        v = self.young.get(key)
+        if v is None:
+            v = self.old.get(key)
+            if v is not None:
+                self.put(key, v)
+        return v
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 def chunks(n: int, size: int) -> Iterator[slice]:
     for i in range(0, n, size):
         yield slice(i, min(n, i + size))

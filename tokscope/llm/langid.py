@@ -1,12 +1,14 @@
 """Language identification by word-first backoff.
 
-A word that the model knows is scored by its log frequency in each language. An unknown word falls back to its character
-5-grams (with word-boundary marks), then to 4-, 3-, 2- and 1-grams: the longest order of which any gram is known gives the mean
-log frequency of its known grams. A text's score is the posterior over languages of the sum over its words.
+A word that the training rows know is scored by its log frequency in each language. An unknown word falls back to its
+character 5-grams (with word-boundary marks), then to 4-, 3-, 2- and 1-grams: the longest order of which any gram is known gives
+the mean log frequency of its known grams. A text's score is the posterior over languages of the sum over its words.
 
-Counts cover all training rows: tasks count (language, word) locally with a bounded table, Spark sums them. The model
-keeps the ``MAX_WORDS`` most frequent words and the ``MAX_GRAMS`` most frequent grams of each order; this is a size of the
-model, all other words of a text are scored too, by the backoff. Its size is bounded, so it is sent to the executors.
+Counts cover all training rows and all their words: tasks count (language, word) locally with a bounded table, Spark sums them.
+Texts are read once for scoring. A task scores the ``SENT_WORDS`` most frequent words from a table that is sent to it (a bounded
+size) and keeps a text's other words with their counts; those meet the whole count table in a join, whatever their
+language's size, and only what the table doesn't hold is scored by grams. The gram model keeps the ``LANG_GRAMS`` most frequent grams of
+each order in each language, so that a small language has as large a share of it as a large one.
 
 Words are runs of letters and digits without decimal digits, lower-cased; those without a letter are ignored.
 Defined cases: a null text or one without a letter is ``und`` with score 0; so is every text if there is no training
@@ -21,18 +23,19 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tokscope.llm.common import batch, fresh, is_fold, settle
+from tokscope.llm.common import Memo, batch, fresh, is_fold, settle, texts, written
 
-MAX_WORDS = 100_000
-MAX_GRAMS = 20_000      # of each order
+SENT_WORDS = 100_000    # most frequent words, scored where the text is read
+LANG_GRAMS = 5_000      # grams of each order and language in the model for unseen words
 ORDERS = (5, 4, 3, 2, 1)
-FLUSH = 300_000         # entries of a task's local table
-MEMO = 200_000          # unseen words remembered by a task
+FLUSH = 150_000         # entries of a task's local table
+MEMO = 30_000           # unseen words of each of a task's two generations
 MIN_SCORE = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -53,45 +56,36 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 @dataclass(frozen=True)
-class Model:
-    langs: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray                  # len(words) x len(langs)
-    grams: dict[int, dict[str, int]]
-    gram_logs: dict[int, np.ndarray]
+class Grams:
+    """Log frequencies of the known grams, for words that no training row has."""
+    index: dict[int, dict[str, int]]       # by order
+    logs: dict[int, np.ndarray]            # grams x languages
 
     def unseen(self, word: str) -> np.ndarray | None:
         """Mean log frequencies of the known grams of the longest order that has any; None if no letter is known."""
+        if not has_letter(word):
+            return None
         for n in ORDERS:
-            at = [i for g in grams_of(word, n) if (i := self.grams[n].get(g)) is not None]
+            at = [i for g in grams_of(word, n) if (i := self.index[n].get(g)) is not None]
             if at:
-                return self.gram_logs[n][at].mean(axis=0)
+                return self.logs[n][at].mean(axis=0, dtype=np.float64)
         return None
 
-    def predict(self, text: str | None, memo: dict) -> tuple[str, float]:
-        at, times, rest = [], [], []
-        get = self.words.get
-        for w, k in Counter(words_of(text)).items():
-            i = get(w)
-            if i is not None:
-                at.append(i)
-                times.append(k)
-                continue
-            v = memo.get(w, 0)
-            if isinstance(v, int):
-                if len(memo) >= MEMO:
-                    memo.clear()
-                v = memo[w] = self.unseen(w) if has_letter(w) else None
-            if v is not None:
-                rest.append(v * k)
-        if not at and not rest:
-            return "und", 0.0
-        total = np.array(times, np.float64) @ self.word_logs[at] if at else np.zeros(len(self.langs))
-        if rest:
-            total = total + np.sum(rest, axis=0)
-        p = np.exp(total - total.max())
-        best = int(p.argmax())
-        return self.langs[best], float(p[best] / p.sum())
+
+@dataclass(frozen=True)
+class Model:
+    langs: list[str]
+    totals: list[float]                    # training words of each language
+    words: DataFrame                       # word, n0, n1, ...: the counts of every training word, a column a language
+    distinct: int
+    sent: dict[str, int]                   # the most frequent words ...
+    sent_logs: np.ndarray                  # ... and their log frequencies
+    grams: Grams
+
+
+class _Index(dict):
+    def __missing__(self, key):
+        return -1
 
 
 def _counted(rows, schema: pa.Schema):
@@ -119,11 +113,12 @@ def word_counts(train: DataFrame) -> DataFrame:
 
         def flush():
             for lang, c in tables.items():
-                yield batch(schema, ([lang] * len(c), list(c), list(c.values())))
+                kept = [(w, n) for w, n in c.items() if has_letter(w)]
+                yield batch(schema, ([lang] * len(kept), [w for w, _ in kept], [n for _, n in kept]))
             tables.clear()
 
         for b in batches:
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for text, lang in zip(texts(b.column(0)), b.column(1).to_pylist()):
                 c = tables.get(lang)
                 if c is None:
                     c = tables[lang] = Counter()
@@ -152,20 +147,29 @@ def gram_counts(words: DataFrame) -> DataFrame:
             .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
 
 
-def _most_frequent(counts: DataFrame, key: str, limit: int) -> pd.DataFrame:
-    """Per-language counts of the ``limit`` keys with the highest totals (ties: smaller key): at most limit x languages rows."""
-    top = counts.groupBy(key).agg(F.sum("n").alias("t")).orderBy(F.desc("t"), key).limit(limit).select(key)
-    return counts.join(top, key).select(key, "lang", "n").toPandas()
+def _by_language(counts: DataFrame, key: str, langs: list[str]) -> DataFrame:
+    """key, n0, n1, ...: one row a key, one column a language."""
+    return counts.groupBy(key).agg(*(F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)))
+
 
+def _logs(counts: np.ndarray, totals: list[float], distinct: int) -> np.ndarray:
+    return np.log((counts + 0.5) / (np.array(totals) + 0.5 * (distinct + 1)))
 
-def _logs(pdf: pd.DataFrame, key: str, langs: list[str], totals: dict[str, float]) -> tuple[dict[str, int], np.ndarray]:
-    keys = {w: i for i, w in enumerate(sorted(set(pdf[key])))}
-    col = {x: i for i, x in enumerate(langs)}
-    m = np.zeros((len(keys), len(langs)))
-    if len(pdf):
-        np.add.at(m, (pdf[key].map(keys).to_numpy(), pdf["lang"].map(col).to_numpy()), pdf["n"].to_numpy(np.float64))
-    total = np.array([totals.get(x, 0.0) for x in langs])
-    return keys, np.log((m + 0.5) / (total + 0.5 * (len(keys) + 1))).astype(np.float32)
+
+def _gram_model(words: DataFrame, langs: list[str]) -> Grams:
+    grams = settle(gram_counts(words))
+    totals = {(r.k, r.lang): float(r.t) for r in grams.groupBy("k", "lang").agg(F.sum("n").alias("t")).collect()}
+    best = F.row_number().over(W.partitionBy("k", "lang").orderBy(F.desc("n"), "gram"))
+    top = grams.withColumn("rank", best).filter(F.col("rank") <= LANG_GRAMS).select("k", "gram").distinct()
+    found = _by_language(grams.join(top, ["k", "gram"]).withColumn("key", F.struct("k", "gram")), "key", langs).select("key.*", *(f"n{i}" for i in range(len(langs))))
+    pdf = found.orderBy("k", "gram").toPandas()            # orders x languages x LANG_GRAMS rows at most
+    index, logs = {}, {}
+    for n in ORDERS:
+        part = pdf[pdf["k"] == n]
+        index[n] = {g: i for i, g in enumerate(part["gram"])}
+        counts = part[[f"n{i}" for i in range(len(langs))]].to_numpy(np.float64)
+        logs[n] = _logs(counts, [totals.get((n, x), 0.0) for x in langs], len(part)).astype(np.float32)
+    return Grams(index, logs)
 
 
 def fit(train: DataFrame) -> Model | None:
@@ -175,42 +179,99 @@ def fit(train: DataFrame) -> Model | None:
     if not totals:
         return None
     langs = sorted(totals)
-    w_index, w_logs = _logs(_most_frequent(words, "word", MAX_WORDS), "word", langs, totals)
-    grams = settle(gram_counts(words))
-    g_totals = {(r.k, r.lang): float(r.t) for r in grams.groupBy("k", "lang").agg(F.sum("n").alias("t")).collect()}
-    g_index, g_logs = {}, {}
-    for n in ORDERS:
-        pdf = _most_frequent(grams.filter(F.col("k") == n), "gram", MAX_GRAMS)
-        g_index[n], g_logs[n] = _logs(pdf, "gram", langs, {x: g_totals.get((n, x), 0.0) for x in langs})
-    return Model(langs, w_index, w_logs, g_index, g_logs)
+    cols = [f"n{i}" for i in range(len(langs))]
+    table = written(_by_language(words, "word", langs), "words")
+    total = sum((F.col(c) for c in cols), F.lit(0))
+    pdf = table.withColumn("t", total).orderBy(F.desc("t"), "word").limit(SENT_WORDS).toPandas()
+    counts, distinct = [totals[x] for x in langs], table.count()
+    return Model(langs, counts, table, distinct, {w: i for i, w in enumerate(pdf["word"])}, _logs(pdf[cols].to_numpy(np.float64), counts, distinct),
+                 _gram_model(words, langs))
+
+
+def _read(docs: DataFrame, model: Model) -> DataFrame:
+    """row, doc_id, th, known, base, words, counts of every row: the score of its frequent words, how many there are, and its
+    other words. ``th``: hash of the text."""
+    sent = docs.sparkSession.sparkContext.broadcast((_Index(model.sent), model.sent_logs))
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("known", pa.int64()), ("base", pa.list_(pa.float64())),
+                        ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
+    def run(batches):
+        index, logs = sent.value
+        place, row = index.__getitem__, TaskContext.get().partitionId() << 40
+        for b in batches:
+            for i in range(0, b.num_rows, 1024):
+                part, out = b.slice(i, 1024), []
+                for text in texts(part.column(2)):
+                    c = Counter(words_of(text))
+                    at = np.fromiter(map(place, c), np.int64, len(c))
+                    times = np.fromiter(c.values(), np.float64, len(c))
+                    rest = at < 0
+                    base = times[~rest] @ logs[at[~rest]]
+                    other = [(w, n) for (w, n), new in zip(c.items(), rest.tolist()) if new and has_letter(w)] if rest.any() else []
+                    out.append((row, int((~rest).sum()), base, [w for w, _ in other], [n for _, n in other]))
+                    row += 1
+                r, known, base, words, counts = zip(*out)
+                yield batch(schema, (r, part.column(0), part.column(1), known, base, words, counts))
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return rows.mapInArrow(run, "row bigint, doc_id bigint, th bigint, known bigint, base array<double>, words array<string>, counts array<bigint>")
+
+
+def _others(read: DataFrame, model: Model) -> DataFrame:
+    """row, more, s0, s1, ...: number and score of the words that were not sent, from the whole count table or else by grams."""
+    size = len(model.langs)
+    sent = read.sparkSession.sparkContext.broadcast((model.grams, model.totals, model.distinct))
+    schema = pa.schema([("row", pa.int64()), ("more", pa.int64()), *((f"s{i}", pa.float64()) for i in range(size))])
 
-def predict_column(spark, model: Model | None, text):
-    """Column: struct(lang_pred, score) of a text."""
+    def run(batches):
+        grams, totals, distinct = sent.value
+        memo = Memo(MEMO)
+        for b in batches:
+            times = b.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
+            counts = np.stack([b.column(f"n{i}").to_numpy(zero_copy_only=False).astype(np.float64) for i in range(size)], axis=1)
+            score, more = _logs(counts, totals, distinct), np.ones(len(times), np.int64)
+            for i in np.flatnonzero(np.isnan(counts[:, 0])).tolist():
+                word = b.column("word")[i].as_py()
+                v = memo.get(word)
+                if v is None:
+                    v = grams.unseen(word)
+                    v = () if v is None else v
+                    memo.put(word, v)
+                score[i] = v if len(v) else 0.0
+                more[i] = len(v) > 0
+            yield batch(schema, (b.column("row"), more, *(score * times[:, None]).T))
+
+    words = read.select("row", F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))).alias("w")).select("row", "w.word", "w.n")
+    found = words.join(model.words, "word", "left").mapInArrow(run, "row bigint, more bigint, " + ", ".join(f"s{i} double" for i in range(size)))
+    return found.groupBy("row").agg(F.sum("more").alias("more"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(size)))
+
+
+def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id, th, lang_pred, score of every row of ``docs``."""
     if model is None:
-        return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = spark.sparkContext.broadcast(model)
-    memo: dict = {}
-
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(t: pd.Series) -> pd.DataFrame:
-        m = sent.value
-        return pd.DataFrame([m.predict(x, memo) for x in t], columns=["lang_pred", "score"])
-
-    return predict(text)
+        return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    read = written(_read(docs, model), "read")
+    others = _others(read, model).withColumnRenamed("row", "other")
+    one = read.drop("words", "counts").join(others, F.col("row") == F.col("other"), "left")
+    total = F.array(*(F.col("base")[i] + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) for i in range(len(model.langs))))
+    none = (F.col("known") == 0) & (F.coalesce("more", F.lit(0)) == 0)
+    best = F.array_max("total")
+    share = 1.0 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
+    lang = F.element_at(F.array(*(F.lit(x) for x in model.langs)), F.array_position("total", F.col("best")).cast("int"))
+    return (one.select("doc_id", "th", total.alias("total"), none.alias("none")).withColumn("best", best)
+            .select("doc_id", "th", F.when(F.col("none"), "und").otherwise(lang).alias("lang_pred"), F.when(F.col("none"), 0.0).otherwise(share).alias("score")))
 
 
 def op1_langid(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""
-    held = is_fold("doc_id", 3, 1)
-    model = fit(docs.filter(~held))
-    out = docs.select("doc_id", held.alias("held_out"), predict_column(docs.sparkSession, model, F.col("text")).alias("p"))
-    return out.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    model = fit(docs.filter(~is_fold("doc_id", 3, 1)))
+    return predicted(docs, model).select("doc_id", is_fold("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows of ``docs`` (same columns) whose language is found with a posterior of at least ``min_score``."""
-    model = fit(docs.filter(~is_fold("doc_id", 3, 1)))
-    (p,) = fresh(docs, "p")
-    out = docs.withColumn(p, predict_column(docs.sparkSession, model, F.col("text")))
-    return out.filter((F.col(f"{p}.lang_pred") != "und") & (F.col(f"{p}.score") >= min_score)).drop(p)
+    a, b, i, t = fresh(docs, "a", "b", "i", "t")
+    found = predicted(docs, fit(docs.filter(~is_fold("doc_id", 3, 1)))).filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
+    kept = settle(found.select(F.col("doc_id").alias(i), F.col("th").alias(t)).distinct())
+    rows = docs.withColumn(a, F.col("doc_id").cast("bigint")).withColumn(b, F.xxhash64("text"))
+    return rows.join(kept, F.col(a).eqNullSafe(F.col(i)) & (F.col(b) == F.col(t)), "left_semi").drop(a, b)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokscope.llm.common import batch, fresh, is_fold, settle
+from tokscope.llm.common import batch, fresh, is_fold, settle, texts
 
 D_FEATURES = 192       # random Fourier features
 RIDGE = 1e-3           # ridge weight per training row
@@ -112,7 +112,7 @@ def statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield batch(schema, (b.column(0), [text_stats(t) for t in b.column(1).to_pylist()]))
+            yield batch(schema, (b.column(0), [text_stats(t) for t in texts(b.column(1))]))
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, stats array<float>")
 
@@ -181,9 +181,9 @@ def score_column(model: Model | None, text):
     if model is None:
         return F.lit(0.5)
 
-    @F.pandas_udf("double")
-    def score(t: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack([text_stats(x) for x in t]).astype(np.float64)) if len(t) else [], dtype="float64")
+    @F.arrow_udf("double")
+    def score(t: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.stack([text_stats(x) for x in texts(t)]).astype(np.float64)) if len(t) else [], pa.float64())
 
     return score(text)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tokscope.llm.common import batch, fresh, settle
+from tokscope.llm.common import batch, fresh, settle, texts
 from tokscope.llm.components import components
 
 SHINGLE = 3
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            f = np.array([fingerprint(t, k) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
+            f = np.array([fingerprint(t, k) for t in texts(b.column(2))], np.uint64).view(np.int64)
             yield batch(schema, (b.column(0), b.column(1), f))
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
