@@ -32,6 +32,7 @@ Pair counts use adjacent positions (``a a a`` counts (a, a) twice); merging repl
 from __future__ import annotations
 
 import heapq
+import json
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tokscope.functions.pretok import model_split, pretokens
 from tokscope.functions.text import SPECIAL_TOKENS
-from tokscope.session import committed, ensure_checkpoint_dir, scratch_path
+from tokscope.session import committed, ensure_checkpoint_dir, files_in, scratch_path, write_small
 
 # --- fixed values: trainer settings of the reference ------------------------
 VOCAB_SIZE = 32_000
@@ -256,14 +257,15 @@ class _Run:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def record(self, number: int, merges: list[tuple[str, str, int]]) -> None:
-        rows = [(number, l, r, c) for l, r, c in merges]
-        self.spark.createDataFrame(rows, "round int, l string, r string, cnt bigint").coalesce(1).write.mode("overwrite").parquet(self.at("journal", number))
+        """One line a merge, in a file that is there as a whole or not at all."""
+        rows = [json.dumps({"round": number, "l": l, "r": r, "cnt": c}) for l, r, c in merges]
+        write_small(self.spark, f"{self.at('journal')}/round-{number:06d}.json", "\n".join(rows) + "\n")
 
     def recorded(self) -> dict[int, list[tuple[str, str, int]]]:
         out = defaultdict(list)
-        paths = [self.at("journal", n) for n in self.numbers("journal")] if self.journal else []
-        for x in self.spark.read.parquet(*paths).collect() if paths else []:           # as many rows as merges
-            out[x["round"]].append((x.l, x.r, x.cnt))
+        if self.journal and files_in(self.spark, self.at("journal")):
+            for x in self.spark.read.schema("round int, l string, r string, cnt bigint").json(self.at("journal")).collect():     # one row a merge
+                out[x["round"]].append((x.l, x.r, x.cnt))
         return out
 
 

@@ -123,6 +123,20 @@ def aggregate_word_stats(stats: DataFrame, docs: DataFrame) -> DataFrame:
         safe_div("len_sum", "len_n").alias("avg_token_len"))
 
 
+def nsl_matrix(agg: DataFrame) -> DataFrame:
+    """model, ref_model, lang, n_tokens, n_ref_tokens, nsl: every model against every model, from the counts per model and language
+    (a self-join of that small table; the text isn't read again)."""
+    a = agg.select("model", "lang", "n_tokens")
+    b = agg.select(F.col("model").alias("ref_model"), "lang", F.col("n_tokens").alias("n_ref_tokens"))
+    return a.join(b, "lang").select("model", "ref_model", "lang", "n_tokens", "n_ref_tokens", safe_div("n_tokens", "n_ref_tokens").alias("nsl"))
+
+
+def against(agg: DataFrame, ref_model: str) -> DataFrame:
+    """``agg`` with its sequence lengths taken against ``ref_model``."""
+    ref = nsl_matrix(agg).where(F.col("ref_model") == ref_model).select("model", "lang", "n_ref_tokens", "nsl")
+    return agg.drop("n_ref_tokens", "nsl").join(ref, ["model", "lang"])
+
+
 def first_chars_from_stats(stats: DataFrame) -> DataFrame:
     """model, ch: distinct token first characters over the corpus."""
     return stats.select("model", F.explode("fc").alias("ch")).distinct()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tokscope.operators import metrics
-from tokscope.operators.tokenizers import SQL_MODELS
+from tokscope.operators import encode, metrics, store, vocab
+from tokscope.operators.tokenizers import SQL_MODELS, TOKENIZERS
 from tokscope.session import materialised
 from tokscope.sources import corpus
 
@@ -27,3 +30,32 @@ def evaluate(spark: SparkSession, docs: DataFrame, models: list[str] | None = No
     agg = metrics.aggregate_word_stats(stats, metrics.doc_level(wc))
     cov = metrics.coverage_from_first_chars(spark, metrics.first_chars_from_stats(stats))
     return metrics.results_rows(spark, agg, cov, rounded=rounded)
+
+
+def compared(spark: SparkSession, docs: DataFrame, models: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(counts per model and language, coverage) for any tokenizers. ``models``: name -> a SQL tokenizer's name, or the path of a
+    saved one, which is loaded and not trained. The text is scanned and split once for all."""
+    wc = materialised(metrics.word_counts(corpus.sample_eval(docs, n=None, max_chars=None)), "words")
+    sql = {n: m for n, m in models.items() if m in TOKENIZERS}
+    parts, cover = [], []
+    if sql:
+        stats = metrics.word_model_stats(wc, list(sql.values()))
+        named = F.element_at(F.create_map(*(F.lit(x) for n, m in sql.items() for x in (m, n))), F.col("model"))
+        stats = stats.withColumn("model", named)
+        parts.append(stats)
+        cover.append(metrics.coverage_from_first_chars(spark, metrics.first_chars_from_stats(stats)))
+    for name, path in models.items():
+        if name not in sql:
+            model = store.load(spark, path)
+            parts.append(encode.bpe_word_stats(wc, model, F.lit(0).cast("bigint"), name=name))
+            cover.append(vocab.vocab_coverage(spark, model.vocab).select(F.lit(name).alias("model"), "lang_code", "vocab_coverage"))
+    agg = metrics.aggregate_word_stats(reduce(DataFrame.unionByName, parts), metrics.doc_level(wc))
+    return materialised(agg, "counts"), reduce(DataFrame.unionByName, cover)
+
+
+def evaluate_models(spark: SparkSession, docs: DataFrame, models: dict[str, str], ref_model: str) -> DataFrame:
+    """Result rows of any tokenizers, with the sequence length against ``ref_model``, any one of them."""
+    if ref_model not in models:
+        raise ValueError(f"the reference {ref_model} is not among the models")
+    agg, cover = compared(spark, docs, models)
+    return metrics.results_rows(spark, metrics.against(agg, ref_model), cover)

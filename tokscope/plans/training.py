@@ -1,18 +1,18 @@
-"""Training plan: corpus -> words -> BPE model, stored as tables (vocab,
-merges, segmentation) under the shared checkpoint directory and reused by
-later queries of the session."""
+"""Training plan: corpus -> words -> BPE model, kept as a saved tokenizer under the shared checkpoint directory and loaded by
+later queries, of this session or another that has the same folder."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
-from tokscope.operators import bpe
-from tokscope.session import input_key, scratch_path
-from tokscope.sinks import files
+from tokscope.operators import bpe, store
+from tokscope.session import ensure_checkpoint_dir, input_key, remove
 from tokscope.sources import corpus
 
-#: models of this process, by application and input files (with sizes and times)
-_MODELS: dict[tuple, bpe.BpeModel] = {}
+#: models of this process by path
+_MODELS: dict[str, bpe.BpeModel] = {}
 
 
 def training_words(spark: SparkSession, sf_dir: str):
@@ -22,17 +22,28 @@ def training_words(spark: SparkSession, sf_dir: str):
     return bpe.word_frequencies(docs)
 
 
+def store_dir(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/tokenizers"
+
+
+def saved_tokenizer(spark: SparkSession, sf_dir: str, max_merges: int | None = None) -> str:
+    """Path of the tokenizer trained on the table as it is now (its files, with sizes and times, name it); trained if it isn't there.
+    The run's own tables lie beside it, so that a driver which is lost while training goes on from the last snapshot."""
+    settings = {"vocab_size": bpe.VOCAB_SIZE, "min_frequency": bpe.MIN_FREQUENCY, "max_merges": max_merges}
+    files = input_key(spark, f"{sf_dir}/documents.parquet")[1]
+    name = "bpe-" + hashlib.sha256(repr((files, sorted(settings.items(), key=str))).encode()).hexdigest()[:16]
+    path = f"{store_dir(spark)}/{name}"
+    if not store.is_saved(spark, path):
+        model = bpe.train(training_words(spark, sf_dir), max_merges=max_merges, folder=f"{path}-run")
+        store.save(model, store_dir(spark), name, settings)
+        remove(spark, f"{path}-run")
+    return path
+
+
 def trained_model(spark: SparkSession, sf_dir: str, max_merges: int | None = None) -> bpe.BpeModel:
     """The model of the whole training: to the vocabulary size or the frequency floor of the trainer, unless ``max_merges`` is given."""
-    key = (*input_key(spark, f"{sf_dir}/documents.parquet"), max_merges)
+    path = saved_tokenizer(spark, sf_dir, max_merges)
+    key = f"{spark.sparkContext.applicationId} {path}"
     if key not in _MODELS:
-        m = bpe.train(training_words(spark, sf_dir), max_merges=max_merges)
-        base = scratch_path(spark, "bpe")
-        files.write_table(m.vocab, f"{base}/vocab")
-        files.write_table(m.merges, f"{base}/merges")
-        files.write_table(m.segmentation, f"{base}/segmentation")
-        _MODELS[key] = bpe.BpeModel(
-            vocab=spark.read.parquet(f"{base}/vocab"), merges=spark.read.parquet(f"{base}/merges"),
-            segmentation=spark.read.parquet(f"{base}/segmentation"), merge_list=m.merge_list,
-            rounds=m.rounds)
+        _MODELS[key] = store.load(spark, path)
     return _MODELS[key]

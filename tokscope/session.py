@@ -79,24 +79,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def drop_scratch(spark: SparkSession) -> int:
     """Remove the written tables that this process made under the shared folder, once no DataFrame over them is in use any more
     (a long session calls it between jobs). Returns how many paths were handed out since the last call."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     n = len(_SCRATCH)
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(conf).delete(path, True)
+        remove(spark, _SCRATCH.pop())
     return n
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def committed(spark: SparkSession, path: str) -> list[str]:
     """Sub-folders of ``path`` that hold a finished write, in any file system that Spark reads."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top, fs = _file_system(spark, path)
     if not fs.exists(top):
         return []
     found = [x.getPath() for x in fs.listStatus(top) if x.isDirectory()]
     return [p.toString() for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in the shared folder, there as a whole or not at all: written under another name and renamed. No Spark job."""
+    there, fs = _file_system(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(there.getParent(), "_" + there.getName())
+    out = fs.create(new, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if fs.exists(there):
+        fs.delete(there, False)
+    fs.rename(new, there)
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished files in ``path``."""
+    top, fs = _file_system(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(top)] if fs.exists(top) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote in the shared folder."""
+    there, fs = _file_system(spark, path)
+    fs.delete(there, True)
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back: branches that share it read pruned columns
     instead of running its plan again, and a lost executor costs no recomputation."""
