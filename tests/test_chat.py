@@ -93,3 +93,32 @@ def test_wrapped_tools_and_extra_keys(spark):
     tools = spark.createDataFrame([(1, [("function", ("find", "Finds", params, None, "yes"))])], schema)
     got = {r.conv_id: r.text for r in chat.render(_df(spark), tools=tools).collect()}
     assert got[1] == render_chat(CONVS[1], tools=[{"type": "function", "function": plain}])
+
+
+def test_repeated_and_missing_turn_numbers(spark):
+    """Every message once, in the order of turn (none first), role and text; a conversation without id is one too."""
+    rows = [(1, 1, "user", "b"), (1, 1, "user", "a"), (1, None, "system", "sys"), (1, 2, "assistant", "c"), (1, 2, "assistant", "c"), (1, 3, "tool", "r"),
+            (1, 3, "tool", "s"), (None, 0, "user", "lost"), (None, None, "tool", "first"), (2, None, None, None), (2, None, "user", "x"), (2, 0, "tool", None)]
+    got = {r.conv_id: r.text for r in chat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()}
+    assert set(got) == {1, 2, None}
+    msgs = [("system", "sys"), ("user", "a"), ("user", "b"), ("assistant", "c"), ("assistant", "c"), ("tool", "r"), ("tool", "s")]
+    assert got[1] == render_chat([{"role": r, "content": t} for r, t in msgs])
+    assert got[None] == render_chat([{"role": "tool", "content": "first"}, {"role": "user", "content": "lost"}])
+    assert got[2] == render_chat([{"role": "", "content": ""}, {"role": "user", "content": "x"}, {"role": "tool", "content": ""}])
+
+
+def test_scan_in_segments_equals_one_window(spark):
+    """Chunks of three messages: totals and carries give what a window over the whole conversation gives."""
+    import random
+    rnd = random.Random(4)
+    rows = [(c, rnd.choice([None, *range(20)]), rnd.choice(["user", "tool", "assistant", "system"]), rnd.choice(["x", "y", None]))
+            for c in (1, 2, 3) for _ in range(rnd.randint(20, 40))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = sorted(map(tuple, chat.positions(df, scan_rows=3).collect()), key=lambda r: (r[0], r[4]))
+    for c in (1, 2, 3):
+        mine = [r for r in got if r[0] == c]
+        want = sorted([r for r in rows if r[0] == c], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3] is not None, r[3] or ""))
+        assert [r[:4] for r in mine] == want and [r[4] for r in mine] == list(range(len(want)))
+        roles = [r[2] for r in want]
+        assert [r[5] for r in mine] == [None, *roles[:-1]] and [r[6] for r in mine] == [*roles[1:], None]
+        assert {r[7] for r in mine} == {roles[0]} and {r[8] for r in mine} == {max((i for i, x in enumerate(roles) if x == "user"), default=-1)}

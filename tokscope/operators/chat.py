@@ -7,12 +7,14 @@ in its conversation) and optionally ``reasoning STRING`` and
 JSON text for maps/lists, plain text otherwise);
 optional per-conversation ``tools`` (see :func:`tools_preamble`).
 
-Plan: per-conversation facts (first role, last user turn, last turn) are one
-grouped aggregate with partial combine; previous/next roles come from two
-equi-joins on ``(conv_id, turn +- 1)`` -- keyed by the pair, so a huge
-conversation is spread over many tasks (no per-conversation window). Each
-message is rendered by a row-local expression; the final text of a
-conversation is the ordered concatenation of its segments.
+Messages of a conversation stand in the order of (turn, role, text), nulls first, whatever gaps, repeats or nulls the turn numbers
+have; messages that are equal in all three keep any order, which no result shows.
+
+Plan: one range-partitioned sort by conversation and that order, written once, gives every message a place; a long conversation
+spreads over many partitions. Facts about neighbours and the whole conversation come from a scan in segments: windows over
+chunks of at most ``SCAN_ROWS`` rows, totals per chunk and conversation, and carries from those totals, joined back by chunk. Each
+message is rendered by a row-local expression; the final text of a conversation is the ordered concatenation of its
+segments.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokscope.functions.text import strip
+from tokscope.session import materialised
 
-CHUNK_TURNS = 256  # turns concatenated per task before the per-conversation concat
+CHUNK_TURNS = 256   # turns concatenated per task before the per-conversation concat
+SCAN_ROWS = 4_096   # messages in a window of the scan
 
 # --- fixed values: template markup -------------------------------------------
 IM_START = "<|im_start|>"
@@ -53,16 +57,31 @@ def _lit(s: str) -> Column:
     return F.lit(s)
 
 
-def positions(msgs: DataFrame) -> DataFrame:
-    """p_conv, p_turn, pos (0, 1, ... by turn, whatever gaps the numbers have), prev_role, next_role, first_role, last_user
-    (position of the last user message, -1 if none). Only conv_id, turn and role pass through the window."""
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    narrow = msgs.select("conv_id", "turn", "role").withColumn("pos", F.row_number().over(order) - 1)
-    return narrow.select(
-        F.col("conv_id").alias("p_conv"), F.col("turn").alias("p_turn"), "pos", F.lag("role").over(order).alias("prev_role"),
-        F.lead("role").over(order).alias("next_role"), F.first("role").over(whole).alias("first_role"),
-        F.coalesce(F.max(F.when(F.col("role") == "user", F.col("pos"))).over(whole), F.lit(-1)).alias("last_user"))
+def positions(msgs: DataFrame, scan_rows: int | None = None) -> DataFrame:
+    """``msgs`` with pos (0, 1, ... in the order of (turn, role, text), nulls first), prev_role, next_role, first_role and last_user
+    (position of the last user message, -1 if none). No window holds more than ``scan_rows`` messages."""
+    order = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "text")]
+    placed = materialised(msgs.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "messages")
+    chunk = F.floor(F.col("_place") / (scan_rows or SCAN_ROWS))     # the upper bits are the partition, so no chunk crosses one
+    rows = placed.withColumn("_chunk", chunk)
+    w = Window.partitionBy("_chunk", "conv_id").orderBy("_place")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select("*", (F.row_number().over(w) - 1).alias("_in"), F.lag("role").over(w).alias("_prev"), F.lead("role").over(w).alias("_next"),
+                       (F.row_number().over(w) == F.count(F.lit(1)).over(whole)).alias("_last"))
+    totals = rows.groupBy("_chunk", "conv_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by(F.struct("role"), "_place").alias("first"), F.max_by(F.struct("role"), "_place").alias("last"),
+        F.max(F.when(F.col("role") == "user", F.col("_in"))).alias("user"))
+    c = Window.partitionBy("conv_id").orderBy("_chunk")             # one row a chunk: scan_rows times fewer than messages
+    every = c.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    base = F.sum("n").over(c) - F.col("n")
+    carries = totals.select(
+        F.col("_chunk").alias("_c"), F.col("conv_id").alias("_conv"), base.alias("_base"), F.lag("last").over(c).alias("_before"),
+        F.lead("first").over(c).alias("_after"), F.first("first").over(every)["role"].alias("first_role"), (base + F.col("user")).alias("_user"))
+    carries = carries.withColumn("last_user", F.coalesce(F.max("_user").over(Window.partitionBy("_conv")), F.lit(-1)))
+    m = rows.join(carries, (F.col("_chunk") == F.col("_c")) & F.col("conv_id").eqNullSafe(F.col("_conv")))
+    return m.select(*msgs.columns, (F.col("_base") + F.col("_in")).alias("pos"),
+                    F.when(F.col("_in") == 0, F.col("_before")["role"]).otherwise(F.col("_prev")).alias("prev_role"),
+                    F.when(F.col("_last"), F.col("_after")["role"]).otherwise(F.col("_next")).alias("next_role"), "first_role", "last_user")
 
 
 def _tool_call_blocks(tool_calls: Column, args_are_map: bool) -> Column:
@@ -80,20 +99,21 @@ def _tool_call_blocks(tool_calls: Column, args_are_map: bool) -> Column:
 
 
 def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) -> DataFrame:
-    """conv_id, turn, segment: the rendered text of every message in the loop
+    """conv_id, turn, pos, segment: the rendered text of every message in the loop
     (a leading system message is the header and yields no segment)."""
-    cols = msgs.columns
-    if "reasoning" not in cols:
-        msgs = msgs.withColumn("reasoning", F.lit(None).cast("string"))
-    if "tool_calls" not in cols:
-        msgs = msgs.withColumn("tool_calls", F.lit(None).cast(
+    return _segments(positions(msgs), truncate_history_thinking)
+
+
+def _segments(m: DataFrame, truncate_history_thinking: bool) -> DataFrame:
+    """Segments of messages with their positions."""
+    if "reasoning" not in m.columns:
+        m = m.withColumn("reasoning", F.lit(None).cast("string"))
+    if "tool_calls" not in m.columns:
+        m = m.withColumn("tool_calls", F.lit(None).cast(
             "array<struct<name:string,arguments:array<struct<key:string,value:string>>>>"))
-    args_type = msgs.schema["tool_calls"].dataType.elementType["arguments"].dataType
+    args_type = m.schema["tool_calls"].dataType.elementType["arguments"].dataType
     args_are_map = args_type.typeName() == "map"
-    p = positions(msgs)
-    # two columns spread a long conversation over many tasks
-    m = msgs.join(p, (F.col("conv_id") == F.col("p_conv")) & (F.col("turn") == F.col("p_turn"))).drop("p_conv", "p_turn")
-    has_sys = F.col("first_role") == "system"
+    has_sys = F.col("first_role").eqNullSafe("system")
     in_loop = ~(has_sys & (F.col("pos") == 0))
     truncated = F.lit(truncate_history_thinking) & (F.col("pos") < F.col("last_user"))
 
@@ -122,24 +142,27 @@ def render_segments(msgs: DataFrame, truncate_history_thinking: bool = True) ->
     assistant = F.when(has_calls, with_tools).otherwise(plain)
     # tool responses: a block opens after a non-tool message, closes before one
     prev_in_loop = F.col("pos") > F.when(has_sys, 1).otherwise(0)
-    opens = F.when(prev_in_loop & (F.col("prev_role") != "tool"), _lit(IM_START + "user\n")).otherwise(_lit(""))
-    closes = F.when(F.col("next_role").isNull() | (F.col("next_role") != "tool"), _lit(IM_END)).otherwise(_lit(""))
+    opens = F.when(prev_in_loop & ~F.col("prev_role").eqNullSafe("tool"), _lit(IM_START + "user\n")).otherwise(_lit(""))
+    closes = F.when(~F.col("next_role").eqNullSafe("tool"), _lit(IM_END)).otherwise(_lit(""))
     tool = F.concat(opens, _lit(TOOL_RESPONSE_OPEN), raw, _lit(TOOL_RESPONSE_CLOSE), closes)
-    other = F.concat(_lit(IM_START), F.col("role"), _lit("\n"), raw, _lit(IM_END))
+    other = F.concat(_lit(IM_START), F.coalesce("role", _lit("")), _lit("\n"), raw, _lit(IM_END))
 
     role = F.col("role")
     seg = (F.when(role == "assistant", assistant).when(role == "tool", tool).otherwise(other))
-    return m.where(in_loop).select("conv_id", "turn", seg.alias("segment"))
+    return m.where(in_loop).select("conv_id", "turn", "pos", seg.alias("segment"))
 
 
 def system_headers(msgs: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, header: the system block every conversation starts with."""
-    facts = msgs.groupBy("conv_id").agg(
-        F.min_by(F.struct("role", "text"), "turn").alias("first"))
-    sysmsg = F.when(F.col("first.role") == "system", F.coalesce(F.col("first.text"), _lit(""))).otherwise(_lit(""))
-    h = facts.select("conv_id", sysmsg.alias("system_message"))
+    return _headers(positions(msgs), tools)
+
+
+def _headers(m: DataFrame, tools: DataFrame | None) -> DataFrame:
+    sysmsg = F.when(F.col("role") == "system", F.coalesce(F.col("text"), _lit(""))).otherwise(_lit(""))
+    h = m.where(F.col("pos") == 0).select("conv_id", sysmsg.alias("system_message"))
     if tools is not None:
-        h = h.join(tools_preamble(tools), "conv_id", "left")
+        given = tools_preamble(tools).withColumnRenamed("conv_id", "_conv")
+        h = h.join(given, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
         pre = F.when(F.col("preamble").isNotNull(),
                      F.concat(F.when(F.length("system_message") > 0, _lit("\n\n")).otherwise(_lit("")),
                               F.col("preamble"))).otherwise(_lit(""))
@@ -209,16 +232,16 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
 def render(msgs: DataFrame, truncate_history_thinking: bool = True, add_generation_prompt: bool = False,
            enable_thinking: bool = True, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, text: the whole rendered conversation."""
-    segs = render_segments(msgs, truncate_history_thinking)
+    m = positions(msgs)
+    segs = _segments(m, truncate_history_thinking)
 
-    def ordered_concat(df, key, col):
-        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, col))),
-                                        lambda x: x[col]), "")
+    def ordered_concat(key, col):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, col))), lambda x: x[col]), "")
 
     # two levels: chunks of CHUNK_TURNS turns, then the chunks of a conversation
-    chunks = (segs.withColumn("chunk", F.floor(F.col("turn") / CHUNK_TURNS))
-              .groupBy("conv_id", "chunk").agg(ordered_concat(None, "turn", "segment").alias("part")))
-    body = chunks.groupBy("conv_id").agg(ordered_concat(None, "chunk", "part").alias("body"))
+    chunks = (segs.withColumn("chunk", F.floor(F.col("pos") / CHUNK_TURNS))
+              .groupBy("conv_id", "chunk").agg(ordered_concat("pos", "segment").alias("part")))
+    body = chunks.groupBy(F.col("conv_id").alias("_body")).agg(ordered_concat("chunk", "part").alias("body"))
     gen = (GEN_PROMPT_THINKING if enable_thinking else GEN_PROMPT_NO_THINKING) if add_generation_prompt else ""
-    return (system_headers(msgs, tools).join(body, "conv_id", "left")
+    return (_headers(m, tools).join(body, F.col("conv_id").eqNullSafe(F.col("_body")), "left")
             .select("conv_id", F.concat("header", F.coalesce("body", _lit("")), _lit(gen)).alias("text")))

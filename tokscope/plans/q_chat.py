@@ -72,6 +72,25 @@ def q_chat_render_tools_prompt(spark, sf_dir):
     return chat.render(_derived(spark, sf_dir), truncate_history_thinking=False, add_generation_prompt=True, enable_thinking=True)
 
 
+#: As an exported log may have them: two messages a turn number, and some messages without one.
+_LOG = """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY t NULLS FIRST, role, raw) - 1 AS turn, role, raw, '' AS call
+  FROM (SELECT conv_id, CASE WHEN (conv_id + turn) % 7 = 3 THEN NULL ELSE turn // 2 END AS t,
+          CASE WHEN role = 'user' AND (conv_id + turn) % 5 > 2 THEN 'tool' ELSE role END AS role, coalesce(text, '') AS raw FROM conversations)"""
+
+
+def _log(spark, sf_dir):
+    m = _msgs(spark, sf_dir)
+    k = F.col("conv_id") + F.col("turn")
+    return m.select("conv_id", F.when(k % 7 != 3, F.expr("turn div 2")).alias("turn"),
+                    F.when((F.col("role") == "user") & (k % 5 > 2), "tool").otherwise(F.col("role")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+@register("chat_render_log")
+def q_chat_render_log(spark, sf_dir):
+    """Conversations whose turn numbers repeat or are missing: messages stand in the order of turn, role and text."""
+    return chat.render(_log(spark, sf_dir))
+
+
 def _segments_sql(truncate: bool, source: str = _PLAIN) -> str:
     S, E = q(chat.IM_START), q(chat.IM_END)
     A = q(chat.IM_START + "assistant\n")
@@ -118,4 +137,5 @@ ORACLE["chat_render"] = _render_sql(True, "")
 ORACLE["chat_render_prompt"] = _render_sql(False, chat.GEN_PROMPT_NO_THINKING)
 ORACLE["chat_render_tools"] = _render_sql(True, "", _DERIVED)
 ORACLE["chat_render_tools_prompt"] = _render_sql(False, chat.GEN_PROMPT_THINKING, _DERIVED)
+ORACLE["chat_render_log"] = _render_sql(True, "", _LOG)
 ORACLE["chat_segments"] = f"WITH {_segments_sql(True)}\nSELECT conv_id, CAST(turn AS BIGINT) AS turn, segment FROM s"
