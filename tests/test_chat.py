@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from reference_impl import render_chat
 from tokscope.operators import chat
 
@@ -122,3 +124,28 @@ def test_scan_in_segments_equals_one_window(spark):
         roles = [r[2] for r in want]
         assert [r[5] for r in mine] == [None, *roles[:-1]] and [r[6] for r in mine] == [*roles[1:], None]
         assert {r[7] for r in mine} == {roles[0]} and {r[8] for r in mine} == {max((i for i, x in enumerate(roles) if x == "user"), default=-1)}
+
+
+def test_tools_and_calls_as_json(spark):
+    """Nested values, numbers, booleans and nulls in written order; calls with JSON arguments; texts that are no tools."""
+    import json
+    spec = {"type": "object", "properties": {"b": {"type": "string", "enum": ["x, y", "k: v", "say \\ \"hi\""], "default": True, "pattern": "^a:b,c$"},
+                                             "a": {"items": {"z": [1, {"y": None}], "a": 2.5}, "maxItems": 3, "nullable": None}}, "required": ["b", "a"]}
+    plain = [{"name": "one", "description": "  d  ", "parameters": spec}, {"type": "function", "function": {"name": "two", "parameters": {"properties": {}}}}]
+    rows = [(1, json.dumps(plain)), (2, "[]"), (3, json.dumps(plain, separators=(",", ":")))]
+    tools = spark.createDataFrame(rows, "conv_id long, tools string")
+    got = {r.conv_id: r.preamble for r in chat.tools_preamble_json(tools).collect()}
+    assert set(got) == {1, 3} and got[1] == got[3]
+    for part in ('<name>b</name>\n<type>string</type>\n<enum>["x, y", "k: v", "say \\\\ \\"hi\\""]</enum>\n<default>True</default>\n<pattern>^a:b,c$</pattern>',
+                 '<name>a</name>\n<items>{"z": [1, {"y": null}], "a": 2.5}</items>\n<maxItems>3</maxItems>\n<nullable>None</nullable>',
+                 '<required>["b", "a"]</required>', "<name>two</name>\n<parameters>\n</parameters>"):
+        assert part in got[1], part
+    text = {r.conv_id: r.text for r in chat.render(_df(spark), tools=tools).collect()}
+    assert got[1] in text[1] and text[2] == render_chat(CONVS[2])
+    bad = spark.createDataFrame([(1, None), (2, "no json"), (3, "{}")], "conv_id long, tools string")
+    assert chat.tools_preamble_json(bad).count() == 0
+    calls = [{"function": {"name": "f", "arguments": {"k": "v", "m": {"z": 1, "a": [True, "x,y"]}, "n": 3, "t": False}}}, {"name": "g"}]
+    df = spark.createDataFrame([(json.dumps(calls),)], "c string").select(chat.tool_calls_of_json(F.col("c")).alias("c"))
+    c = df.first().c
+    assert [(x.name, [(a.key, a.value) for a in x.arguments]) for x in c] == [
+        ("f", [("k", "v"), ("m", '{"z": 1, "a": [true, "x,y"]}'), ("n", "3"), ("t", "False")]), ("g", [])]

@@ -53,3 +53,13 @@ def test_script_classes_partition_tokens(spark):
     df = spark.createDataFrame([("नमस्ते ab 12 বাংলা ! ᱚᱛ",)], "s string")
     r = df.select(F.transform(pretok.pretokens("s"), pretok.script_class).alias("c")).first()["c"]
     assert list(r) == ["Devanagari", "Latin", "Digits", "Bengali", "Other", "Ol Chiki"]
+
+
+def test_spans_in_segments(spark):
+    """Chunks of four matches: carries over a text's chunks; repeated rows and rows without id keep their own sums; no Python node."""
+    texts = ["ab cd,ef  gh!! 12.5x y " * 5, "नमस्ते ab\n\n c", None, "", "ab cd,ef  gh!! 12.5x y " * 5]
+    df = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, texts[2]), (None, texts[3]), (1, texts[4]), (None, "a b")], "doc_id long, text string")
+    out = pretok.pretoken_spans(df, chunk=4)
+    want = sorted([(d, k, t, a, b) for d, x in [(r[0], r[1]) for r in df.collect()] for k, (t, a, b) in enumerate(pretokenize_spans(x or ""))], key=str)
+    assert sorted(map(tuple, out.collect()), key=str) == want
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()

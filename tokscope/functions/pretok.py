@@ -11,12 +11,11 @@ needs no filter. Tokens never span whitespace.
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokscope.functions.text import NON_WS, WS, WS_CHARS
+from tokscope.functions.text import NON_WS, WS, WS_CHARS, WS_STRING
+from tokscope.session import materialised
 
 # --- fixed values: script blocks in match order (name, character class) -----
 SCRIPT_BLOCKS = [
@@ -78,40 +77,28 @@ def script_class(c) -> Column:
     return expr.when(tok.rlike("^[0-9]"), "Digits").otherwise("Other")
 
 
-def python_pattern(java_pattern: str) -> str:
-    """The same pattern for Python's ``re`` (``\\x{hhhh}`` -> ``\\Uhhhhhhhh``)."""
-    return re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: "\\U%08x" % int(m.group(1), 16), java_pattern)
-
-
-SPAN_SCHEMA = "doc_id long, pos long, token string, span_start long, span_end long"
+SPAN_CHUNK = 4_096      # matches of a text in a window
 
 
-def pretoken_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pretoken_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int | None = None) -> DataFrame:
     """doc_id, pos, token, span_start, span_end (code points, end exclusive).
 
-    Offsets need a running sum over the matches of one text, which SQL
-    array functions can only express quadratically; this is a per-row
-    helper run on Arrow batches inside the tasks (no shuffle, linear).
+    The pattern's matches tile a text, so a token starts where the lengths before it end. That running sum is taken in segments:
+    within chunks of ``chunk`` matches of a row, and over the totals of a row's chunks, which are joined back. A very long text
+    spreads over as many tasks as it has chunks, and nothing leaves the JVM. The matches are written once, because both sums read
+    them.
     """
-    pattern = python_pattern(PRETOKEN_SPAN_RE)
-
-    def spans(batches):
-        import pandas as pd
-        rx = re.compile(pattern)
-        for pdf in batches:
-            ids, pos, toks, starts, ends = [], [], [], [], []
-            for did, txt in zip(pdf[id_col], pdf[text_col]):
-                k = 0
-                for m in rx.finditer(txt or ""):
-                    tok = m.group(0)
-                    if tok.isspace():
-                        continue
-                    ids.append(did); pos.append(k); toks.append(tok)
-                    starts.append(m.start()); ends.append(m.end())
-                    k += 1
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "pos": pd.Series(pos, dtype="int64"),
-                                "token": pd.Series(toks, dtype="object"),
-                                "span_start": pd.Series(starts, dtype="int64"),
-                                "span_end": pd.Series(ends, dtype="int64")})
-
-    return df.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInPandas(spans, SPAN_SCHEMA)
+    rows = df.select(F.col(id_col).cast("bigint").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias(text_col)).withColumn("row", F.monotonically_increasing_id())
+    found = (rows.select("row", id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(PRETOKEN_SPAN_RE), F.lit(0))).alias("i", "token"))
+             .select("row", id_col, F.floor(F.col("i") / (chunk or SPAN_CHUNK)).alias("chunk"), "i", "token", F.length("token").cast("bigint").alias("n"),
+                     (F.length(F.trim(F.col("token"), F.lit(WS_STRING))) > 0).cast("bigint").alias("kept")))
+    found = materialised(found, "matches")
+    within = Window.partitionBy("row", "chunk").orderBy("i")
+    before = Window.partitionBy("row").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = found.groupBy("row", "chunk").agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"))
+    carry = totals.select(F.col("row").alias("_row"), F.col("chunk").alias("_chunk"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"),
+                          F.coalesce(F.sum("kept").over(before), F.lit(0)).alias("_kept"))
+    placed = found.select("*", F.sum("n").over(within).alias("end"), F.sum("kept").over(within).alias("place"))
+    out = placed.where("kept = 1").join(carry, (F.col("row") == F.col("_row")) & (F.col("chunk") == F.col("_chunk")))
+    end = F.col("_n") + F.col("end")
+    return out.select(id_col, (F.col("_kept") + F.col("place") - 1).alias("pos"), "token", (end - F.col("n")).alias("span_start"), end.alias("span_end"))

@@ -5,7 +5,7 @@ letter runs / symbol runs) with their corpus frequency and current symbols joine
 whitespace), and the pair index ``pairs(l, r, cnt)``, the counts of adjacent pairs that reach the minimum frequency.
 
 One round:
-  1. the head of the pair order (count desc, left asc, right asc), a bounded top-K that is sent to the tasks;
+  1. the head of the pair order (count desc, left asc, right asc), a bounded number of pairs that is sent to the tasks;
   2. every word reports the head's pairs that must wait in it (:func:`waiting`); a pair that waits nowhere is merged now;
   3. words that hold a merged pair are rewritten where they are, without a join or a shuffle;
   4. only the rewritten words send signed count changes; they are added to the pair index, which is hash-partitioned by pair
@@ -188,6 +188,19 @@ def mergeable(state: DataFrame, head: list[tuple[str, str, int]], last: int) ->
     return [p for i, p in enumerate(head) if i not in wait]
 
 
+def least_count(pairs: DataFrame, min_frequency: int, size: int) -> int:
+    """A count that at most ``size`` pairs reach (unless more share the highest counts), from a histogram of a few hundred classes:
+    no task sends a top list to the driver, whose length would grow with the number of tasks."""
+    classes = pairs.groupBy(F.floor(F.log2("cnt") * 8)).agg(F.min("cnt").alias("least"), F.count(F.lit(1)).alias("n")).collect()
+    least, total = None, 0
+    for x in sorted(classes, key=lambda x: -x.least):
+        total += x.n
+        if least is not None and total > size:
+            return least
+        least = x.least
+    return min_frequency
+
+
 def rewrite(state: DataFrame, merges: Iterable[tuple[str, str, int]]) -> DataFrame:
     """One round's merges in every word; ``was`` keeps the symbols of words that change."""
     sent = state.sparkSession.sparkContext.broadcast({(l, r) for l, r, *_ in merges})
@@ -310,19 +323,23 @@ def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = M
         pairs = pair_counts(first).where(F.col("cnt") >= min_frequency).persist()
     retired = [n for n in run.numbers("retired") if n <= number]
     scanned, old = [], []
+    least = least_count(pairs, min_frequency, head_size)
     while max_rounds is None or number < max_rounds:
         if number + 1 not in journal:
-            top = pairs.orderBy(F.desc("cnt"), "l", "r").limit(min(head_size, max(1, budget)) + 1).collect()
+            top = sorted(pairs.where(f"cnt >= {least}").collect(), key=lambda x: (-x.cnt, x.l, x.r))
             for x in old:                                     # both tables are held now; those before can go
                 x.unpersist()
             old = []
+            if least > min_frequency and (len(top) < budget // 4 or len(top) > head_size):
+                least = least_count(pairs, min_frequency, head_size)
+                top = sorted(pairs.where(f"cnt >= {least}").collect(), key=lambda x: (-x.cnt, x.l, x.r))
             if not top:
                 break
             final = budget - sum(1 for m in merges if m[2] > top[0].cnt)
             if final <= 0:
                 break
             take = min(head_size, final)
-            complete = len(top) <= take
+            complete = least <= min_frequency and len(top) <= take
             head = [(x.l, x.r, x.cnt) for x in top[:take]]
             now = mergeable(state, head, 0 if complete else head[-1][2])
         else:
@@ -336,8 +353,7 @@ def train(words: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = M
         pairs = (pairs.union(count_changes(state)).groupBy("l", "r").agg(F.expr("CAST(sum(cnt) AS BIGINT) AS cnt"))
                  .where(f"cnt >= {int(min_frequency)}").persist())
         if number % snapshot_every == 0:
-            held = pairs.limit(head_size + 1).collect()
-            known = {(x.l, x.r) for x in held} if len(held) <= head_size else None
+            known = {(x.l, x.r) for x in pairs.select("l", "r").collect()} if pairs.count() <= head_size else None
             split = alive(state, known).persist()
             left, gone = split.where("live"), split.where("NOT live")
             live = left.count()

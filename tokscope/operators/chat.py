@@ -5,7 +5,7 @@ in its conversation) and optionally ``reasoning STRING`` and
 ``tool_calls ARRAY<STRUCT<name STRING, arguments ARRAY<STRUCT<key, value>>>>``
 (ordered arguments; a MAP<STRING, STRING> is accepted too; values already
 JSON text for maps/lists, plain text otherwise);
-optional per-conversation ``tools`` (see :func:`tools_preamble`).
+optional per-conversation ``tools``, as structs (:func:`tools_preamble`) or as JSON text (:func:`tools_preamble_json`).
 
 Messages of a conversation stand in the order of (turn, role, text), nulls first, whatever gaps, repeats or nulls the turn numbers
 have; messages that are equal in all three keep any order, which no result shows.
@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokscope.functions import json_text as js
 from tokscope.functions.text import strip
 from tokscope.session import materialised
 
@@ -161,7 +162,8 @@ def _headers(m: DataFrame, tools: DataFrame | None) -> DataFrame:
     sysmsg = F.when(F.col("role") == "system", F.coalesce(F.col("text"), _lit(""))).otherwise(_lit(""))
     h = m.where(F.col("pos") == 0).select("conv_id", sysmsg.alias("system_message"))
     if tools is not None:
-        given = tools_preamble(tools).withColumnRenamed("conv_id", "_conv")
+        as_json = tools.schema["tools"].dataType.typeName() == "string"
+        given = (tools_preamble_json if as_json else tools_preamble)(tools).withColumnRenamed("conv_id", "_conv")
         h = h.join(given, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
         pre = F.when(F.col("preamble").isNotNull(),
                      F.concat(F.when(F.length("system_message") > 0, _lit("\n\n")).otherwise(_lit("")),
@@ -229,6 +231,57 @@ def tools_preamble(tools: DataFrame) -> DataFrame:
         "conv_id", F.concat(_lit(TOOLS_HEADER), body, _lit(TOOLS_FOOTER), _lit(TOOLS_INSTRUCTIONS)).alias("preamble"))
 
 
+def tools_preamble_json(tools: DataFrame) -> DataFrame:
+    """conv_id, preamble from ``tools(conv_id, tools STRING)``, a JSON array of tools as they are sent to a model: each an object with
+    name, description and parameters (a JSON schema), or wrapped as ``{"type": ..., "function": {...}}``. Keys keep their order;
+    keys beyond the known ones of a parameter, of ``parameters`` and of the tool are printed where the template prints them.
+    A text that is no array, or an empty one, gives no row."""
+    def tag(name, shown):
+        return F.concat(_lit("\n<"), name, _lit(">"), shown, _lit("</"), name, _lit(">"))
+
+    def if_there(obj, key, shown):
+        return F.when(js.has(obj, key), tag(_lit(key), shown)).otherwise(_lit(""))
+
+    def value(obj, key):
+        return js.printed(js.raw(obj, key), js.kind(obj, key))
+
+    def extras(obj, known):
+        rest = F.filter(js.keys(obj), lambda k: ~k.isin(*known))
+        return F.array_join(F.transform(rest, lambda k: tag(k, value(obj, k))), "")
+
+    def param(name, p):
+        return F.concat(
+            _lit("\n<parameter>"), tag(_lit("name"), name), if_there(p, "type", js.printed_list(js.raw(p, "type"), js.kind(p, "type"))),
+            if_there(p, "description", strip(value(p, "description"))), if_there(p, "enum", js.spaced(js.raw(p, "enum"))),
+            extras(p, ("name", "type", "description", "enum")), _lit("\n</parameter>"))
+
+    def fn(tool):
+        t = F.when(js.has(tool, "function"), js.raw(tool, "function")).otherwise(tool)
+        spec = js.raw(t, "parameters")
+        props = js.raw(spec, "properties")
+        return F.concat(
+            _lit("\n<function>"), tag(_lit("name"), F.coalesce(js.raw(t, "name"), _lit(""))), if_there(t, "description", strip(value(t, "description"))),
+            _lit("\n<parameters>"), F.array_join(F.transform(js.keys(props), lambda k: param(k, js.raw(props, k))), ""),
+            extras(spec, ("type", "properties", "required")), if_there(spec, "required", js.spaced(js.raw(spec, "required"))),
+            _lit("\n</parameters>"), extras(t, ("type", "name", "description", "parameters")), _lit("\n</function>"))
+
+    given = tools.select("conv_id", js.elements(F.col("tools")).alias("tools")).where(F.size("tools") > 0)
+    body = F.array_join(F.transform("tools", fn), "")
+    return given.select("conv_id", F.concat(_lit(TOOLS_HEADER), body, _lit(TOOLS_FOOTER), _lit(TOOLS_INSTRUCTIONS)).alias("preamble"))
+
+
+def tool_calls_of_json(calls: Column) -> Column:
+    """``tool_calls`` for the renderer from a JSON array of ``{"name": ..., "arguments": {...}}``, wrapped as ``{"function": ...}`` or not:
+    arguments in written order, lists and objects as JSON."""
+    def one(c):
+        f = F.when(js.has(c, "function"), js.raw(c, "function")).otherwise(c)
+        given = js.raw(f, "arguments")
+        return F.struct(F.coalesce(js.raw(f, "name"), _lit("")).alias("name"), F.transform(js.keys(given), lambda k: F.struct(
+            k.alias("key"), js.printed(js.raw(given, k), js.kind(given, k)).alias("value"))).alias("arguments"))
+
+    return F.transform(js.elements(calls), one)
+
+
 def render(msgs: DataFrame, truncate_history_thinking: bool = True, add_generation_prompt: bool = False,
            enable_thinking: bool = True, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, text: the whole rendered conversation."""

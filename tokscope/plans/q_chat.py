@@ -91,6 +91,26 @@ def q_chat_render_log(spark, sf_dir):
     return chat.render(_log(spark, sf_dir))
 
 
+_TOOLS = ('[{"type":"function","function":{"name":"find","description":" Finds §  ","strict":true,"parameters":{"type":"object","properties":{'
+          '"q":{"type":["string","null"],"description":"text, § \\"words\\"","default":null,"examples":["a, b",{"z":§,"a":[1.5,false]}]},'
+          '"n":{"type":"integer","enum":[1,2,§],"minimum":§}},"required":["q"],"additionalProperties":false,"order":{"z":1,"a":{}}}}},'
+          '{"name":"noop","tags":["x","y:z"]}]')
+_TOOLS_TEXT = ("\n<function>\n<name>find</name>\n<description>Finds §</description>\n<parameters>\n<parameter>\n<name>q</name>\n<type>['string', 'null']</type>"
+               '\n<description>text, § "words"</description>\n<default>None</default>\n<examples>["a, b", {"z": §, "a": [1.5, false]}]</examples>\n</parameter>'
+               "\n<parameter>\n<name>n</name>\n<type>integer</type>\n<enum>[1, 2, §]</enum>\n<minimum>§</minimum>\n</parameter>"
+               '\n<additionalProperties>False</additionalProperties>\n<order>{"z": 1, "a": {}}</order>\n<required>["q"]</required>\n</parameters>\n<strict>True</strict>\n</function>'
+               '\n<function>\n<name>noop</name>\n<parameters>\n</parameters>\n<tags>["x", "y:z"]</tags>\n</function>')
+
+
+@register("chat_render_json_tools")
+def q_chat_render_json_tools(spark, sf_dir):
+    """Conversations with tools given as JSON, nested and with keys in their own order (every third conversation has none)."""
+    m = _msgs(spark, sf_dir)
+    text = F.replace(F.lit(_TOOLS), F.lit("§"), F.col("conv_id").cast("string"))
+    tools = m.select("conv_id").distinct().withColumn("tools", F.when(F.col("conv_id") % 3 != 0, text).otherwise("[]"))
+    return chat.render(m, tools=tools)
+
+
 def _segments_sql(truncate: bool, source: str = _PLAIN) -> str:
     S, E = q(chat.IM_START), q(chat.IM_END)
     A = q(chat.IM_START + "assistant\n")
@@ -137,5 +157,8 @@ ORACLE["chat_render"] = _render_sql(True, "")
 ORACLE["chat_render_prompt"] = _render_sql(False, chat.GEN_PROMPT_NO_THINKING)
 ORACLE["chat_render_tools"] = _render_sql(True, "", _DERIVED)
 ORACLE["chat_render_tools_prompt"] = _render_sql(False, chat.GEN_PROMPT_THINKING, _DERIVED)
+_JSON_HEAD = f"""CASE WHEN f.conv_id % 3 = 0 THEN '' ELSE (CASE WHEN f.first_role = 'system' AND length(f.first_text) > 0 THEN chr(10) || chr(10) ELSE '' END)
+  || {q(chat.TOOLS_HEADER)} || replace({q(_TOOLS_TEXT)}, '§', CAST(f.conv_id AS VARCHAR)) || {q(chat.TOOLS_FOOTER + chat.TOOLS_INSTRUCTIONS)} END"""
+ORACLE["chat_render_json_tools"] = _render_sql(True, "").replace(f"|| {q(chat.IM_END)} || coalesce((", f"|| {_JSON_HEAD} || {q(chat.IM_END)} || coalesce((", 1)
 ORACLE["chat_render_log"] = _render_sql(True, "", _LOG)
 ORACLE["chat_segments"] = f"WITH {_segments_sql(True)}\nSELECT conv_id, CAST(turn AS BIGINT) AS turn, segment FROM s"
