@@ -5,8 +5,8 @@ character 5-grams (with word-boundary marks), then to 4-, 3-, 2- and 1-grams: th
 the mean log frequency of its known grams. A text's score is the posterior over languages of the sum over its words.
 
 Counts cover all training rows and all their words: tasks count (language, word) locally with a bounded table, Spark sums them.
-Texts are read once for scoring. A task scores the ``SENT_WORDS`` most frequent words from a table that is sent to it (a bounded
-size) and keeps a text's other words with their counts; those meet the whole count table in a join, whatever their
+Texts are read once for scoring. A task scores the most frequent words, ``SENT_WORDS`` at most, from a table that is sent to it and
+keeps a text's other words with their counts; those meet the whole count table in a join, whatever their
 language's size, and only what the table doesn't hold is scored by grams. The gram model keeps the ``LANG_GRAMS`` most frequent grams of
 each order in each language, so that a small language has as large a share of it as a large one.
 
@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 
 from tokscope.llm.common import Memo, batch, fresh, is_fold, settle, texts, written
 
-SENT_WORDS = 100_000    # most frequent words, scored where the text is read
+SENT_WORDS = 60_000     # most frequent words at most, scored where the text is read
 LANG_GRAMS = 5_000      # grams of each order and language in the model for unseen words
 ORDERS = (5, 4, 3, 2, 1)
 FLUSH = 150_000         # entries of a task's local table
@@ -182,9 +182,19 @@ def fit(train: DataFrame) -> Model | None:
     cols = [f"n{i}" for i in range(len(langs))]
     table = written(_by_language(words, "word", langs), "words")
     total = sum((F.col(c) for c in cols), F.lit(0))
-    pdf = table.withColumn("t", total).orderBy(F.desc("t"), "word").limit(SENT_WORDS).toPandas()
-    counts, distinct = [totals[x] for x in langs], table.count()
-    return Model(langs, counts, table, distinct, {w: i for i, w in enumerate(pdf["word"])}, _logs(pdf[cols].to_numpy(np.float64), counts, distinct),
+    often = F.floor(F.log2(total) * 8)                      # a few hundred classes; as many of the highest as SENT_WORDS has room for
+    sizes = sorted(((r.c, r.n) for r in table.groupBy(often.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, room = None, SENT_WORDS
+    for c, n in sizes:
+        room -= n
+        if room < 0:
+            break
+        least = c
+    best = table.filter(often >= least) if least is not None else table.limit(0)
+    sent = best.toArrow()
+    counts, distinct = [totals[x] for x in langs], sum(n for _, n in sizes)
+    found = np.stack([sent.column(c).to_numpy().astype(np.float64) for c in cols], axis=1)
+    return Model(langs, counts, table, distinct, {w: i for i, w in enumerate(sent.column("word").to_pylist())}, _logs(found, counts, distinct),
                  _gram_model(words, langs))
 
 

@@ -14,7 +14,7 @@ import numpy as np
 
 from tokscope.llm.common import Memo
 
-MEMO = 48_000       # words, and as many parts, of each of a task's two generations: about 40 MB in all
+MEMO = 120_000      # words of each of a task's two generations, and half as many parts: 80 MB at most
 
 # Letters, numbers and white space below U+0100, and the contractions of the file's pattern
 _L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
