@@ -73,8 +73,13 @@ def word_frequencies(docs: DataFrame, text_col: str = "text", pretokenize: bool
         from tokscope.functions.text import WS
         pt = (docs.select(F.explode(F.split(F.col(text_col), f"{WS}+")).alias("pt")).where(F.col("pt") != "")
               .groupBy("pt").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
-    return (pt.select(F.explode(model_split("pt")).alias("word"), "n")
-            .groupBy("word").agg(F.sum("n").cast("bigint").alias("freq")))
+    return words_of_pretokens(pt.select(F.col("pt").alias("token"), F.col("n").alias("freq")))
+
+
+def words_of_pretokens(table: DataFrame) -> DataFrame:
+    """word, freq from a frequency table (token, freq) of pre-tokens, such as a stream keeps."""
+    return (table.select(F.explode(model_split("token")).alias("word"), "freq")
+            .groupBy("word").agg(F.sum("freq").cast("bigint").alias("freq")))
 
 
 def initial_state(words: DataFrame) -> DataFrame:

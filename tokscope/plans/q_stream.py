@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokscope.plans.catalog import register
 from tokscope.plans.oracle import ORACLE, PRETOK, WORD, div, q, strip_sql
 from tokscope.session import scratch_path
+from tokscope.streaming import caps, frequencies
 from tokscope.streaming import corpus_stream as cs
 
 
@@ -54,3 +55,34 @@ SELECT lang, CAST(count(*) AS BIGINT) AS docs,
        CAST(sum(strlen(t)) AS BIGINT) AS bytes
 FROM (SELECT lang, {strip_sql('text')} AS t FROM documents) WHERE length(t) > 20 GROUP BY lang)
 """
+
+
+STREAM_CAP = 100        # the cap is the feature: documents a language
+
+
+@register("stream_capped")
+def q_stream_capped(spark, sf_dir):
+    """Training ingest with a cap per language on a stream: the first documents by id, then stripped and long enough."""
+    out, ck = scratch_path(spark, "stream-capped"), scratch_path(spark, "stream-capped-ck")
+    caps.ingest_capped(cs.read_documents_stream(spark, _src(sf_dir)), out, ck, STREAM_CAP)
+    return caps.kept(spark, out).select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
+ORACLE["stream_capped"] = f"""
+SELECT doc_id, lang, md5(t) AS text_md5 FROM (SELECT doc_id, lang, {strip_sql('text')} AS t, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
+WHERE rn <= {STREAM_CAP} AND length(t) > 20
+"""
+
+
+@register("stream_pretoken_freq")
+def q_stream_pretoken_freq(spark, sf_dir):
+    """The frequency table that a stream of cleaned documents keeps up to date."""
+    out, ck = scratch_path(spark, "stream-freq"), scratch_path(spark, "stream-freq-ck")
+    frequencies.keep_up_to_date(cs.cleaned_stream(cs.read_documents_stream(spark, _src(sf_dir), spread=_spread(spark))).select("text"), out, ck)
+    return frequencies.table(spark, out)
+
+
+ORACLE["stream_pretoken_freq"] = f"""
+SELECT token, CAST(count(*) AS BIGINT) AS freq FROM (SELECT unnest(regexp_extract_all(t, {q(PRETOK)})) AS token
+  FROM (SELECT {strip_sql('text')} AS t FROM documents) WHERE length(t) > 20) GROUP BY token
+"""
