@@ -45,6 +45,22 @@ def test_simhash_shards_find_every_link(spark):
     assert len({*zip(got, want)}) == len(set(got)) == len(set(want))
 
 
+def test_a_shard_that_cannot_be_split(spark):
+    """A family within a few bits of one fingerprint: no vantage point shrinks it, so pairs of its parts are compared apart."""
+    rng = np.random.default_rng(1)
+    p = np.full(900, 2 ** 40 + 12345, np.uint64)
+    for _ in range(4):
+        p ^= np.uint64(1) << rng.integers(0, 40, 900).astype(np.uint64)
+    p = np.unique(p)
+    df = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fp bigint")
+    sizes = {r["shard"]: r["count"] for r in simhash.shards(df, 2, max_shard=60).groupBy("shard").count().collect()}
+    assert any("!-" in s for s in sizes) and max(sizes.values()) < 4 * 60
+    root = {r.node: r.root for r in simhash.components(simhash.links(df, 2, max_shard=60)).collect()}
+    got = [root.get(int(x), int(x)) for x in p.view(np.int64)]
+    want = brute.linked([(i, int(x)) for i, x in enumerate(p)])
+    assert len({*zip(got, want)}) == len(set(got)) == len(set(want))
+
+
 def test_forest_needs_no_sample_of_pairs():
     p = np.arange(3000, dtype=np.uint64)                # a chain: all reachable, hundreds of thousands of pairs
     e = simhash.leaf_links(p, 1)[0]

@@ -24,7 +24,7 @@ def vectors(spark, n=600, d=24, seed=0):
 
 
 def nearest(x, q, k, score):
-    s = [(-score(x[q], v), i) for i, v in x.items() if i != q]
+    s = [(-score(x[q], v), i) for i, v in [*x.items(), (0, x[0])] if i != q]         # the table holds row 0 twice
     return [(i, -a) for a, i in sorted(s)[:k]]
 
 
@@ -42,6 +42,25 @@ def test_topk_equals_brute_force(spark):
         assert by[9600] == [(9650, 3 * 256 * 256 + 2 * 256 * 256)] and set(by) == {i for i in x if i % 50 == 0} | {9600, 9650}
 
 
+def test_topk_of_repeated_ids_equals_its_sql(spark, tmp_path):
+    """Rows that share an id are candidates each; of a repeated query id the largest vector asks."""
+    import duckdb
+    rng = np.random.default_rng(3)
+    rows = [(int(i), v.astype(np.float32).tolist(), 0) for i, v in zip(rng.integers(0, 120, 400), rng.normal(size=(400, 8)))]
+    rows += [(7, rows[0][1], 1), (7, rows[0][1], 2), (50, [2.0] * 8, 0), (50, [1.0] * 8, 0)]
+    df = spark.createDataFrame(rows, VEC)
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(segments.ORACLE_SQL).fetchall()
+    got = [tuple(r) for r in segments.op10_topk(df).select("query_id", "rank", "vec_id", "score").collect()]
+    assert sorted(got) == sorted(want) and len(got) == 15
+    ann = {}
+    for r in collisions.op4_ann(df).collect():
+        ann.setdefault(r.query_id, []).append(r.vec_id)
+    assert all(len(v) == 20 and q not in v for q, v in ann.items()) and any(len(set(v)) < 20 for v in ann.values())
+
+
 def test_topk_of_huge_numbers(spark):
     df = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1e18, 2.0]), (2, [3e38, 1.0])], "vec_id bigint, embedding array<float>")
     assert [r.vec_id for r in segments.op10_topk(df).orderBy("rank").collect()] == [1, 2]

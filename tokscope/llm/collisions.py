@@ -11,7 +11,8 @@ Widths and thresholds come from the shard itself: up to ``PILOTS`` of its vector
 median k-th distance, and the threshold is the ``MISS`` quantile of the collisions that true neighbours have.
 
 Defined cases: rows with null id, null or empty vector, a zero vector, or null or non-finite components take no part; vectors of
-different lengths never meet; of rows with the same id one is used; ties go to the smaller id; an empty table gives no rows.
+different lengths never meet; rows with the same id are all
+candidates (of other ids' queries), and one of them is the query; ties go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ class Index:
         return r * self.radius / np.sqrt(self.lifted.shape[1])
 
     def nearest(self, q: np.ndarray, own: np.ndarray, ids: np.ndarray):
-        """(query position, row positions, inner products) of every query; ``own``: position of the query's own row or -1."""
+        """(query position, row positions, inner products) of every query; ``own``: first and last + 1 position of rows with its id."""
         p = self.scaled(q) @ self.a
         left = np.arange(len(q))
         for level, r in [*enumerate(LEVELS), (None, None)]:
@@ -109,8 +110,8 @@ class Index:
                     cand = np.arange(len(self.x))
                 else:
                     cand = np.flatnonzero(self.collisions(lo[at], width[at]) >= self.threshold[level])
-                cand = cand[cand != own[i]]
-                want = min(self.want, len(self.x) - int(own[i] >= 0))
+                cand = cand[(cand < own[i, 0]) | (cand >= own[i, 1])]
+                want = min(self.want, len(self.x) - int(own[i, 1] - own[i, 0]))
                 s = self.x[cand] @ q[i]
                 b = best(s, ids[cand], want)
                 if level is not None and (len(b) < want or want and self.distance(q[i], s[b[-1:]])[0] > r * self.radius):
@@ -124,8 +125,7 @@ class Index:
 
 def kernel(k: int):
     def run(x, ids, q, qids):
-        own = np.searchsorted(ids, qids)
-        own = np.where((own < len(ids)) & (ids[np.minimum(own, len(ids) - 1)] == qids), own, -1)
+        own = np.stack([np.searchsorted(ids, qids, "left"), np.searchsorted(ids, qids, "right")], axis=1)
         out = [(np.full(len(c), qids[i]), ids[c], s) for i, c, s in Index(x, k).nearest(q, own, ids)]
         return tuple(np.concatenate(c) for c in zip(*out)) if out else ([], [], [])
 

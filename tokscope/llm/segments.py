@@ -8,7 +8,8 @@ the best-looking of the rest are scored exactly to raise that score. What remain
 
 Exactness: where a product sum can reach 2^53 it is taken in 64-bit integers, and beyond 2^63 in Python integers that are cut
 to the range of a long. Defined cases: rows with null id, null or empty vector, or null or non-finite components take no
-part; vectors of different lengths never meet; of rows with the same id one is used; an empty table gives no rows.
+part; vectors of different lengths never meet; rows with the same id are all
+candidates (of other ids' queries), and one of them is the query; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,6 +95,7 @@ def op10_topk(rows: DataFrame, k: int = K, every: int = 50) -> DataFrame:
 ORACLE_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(v.e AS DOUBLE[])) AS BIGINT) AS score
-  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
+  FROM (SELECT * FROM v WHERE vec_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY vec_id, len(e) ORDER BY e DESC) = 1) AS q
+  JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""

@@ -4,7 +4,8 @@ Flow. Tasks compute fingerprints of whole texts; equal fingerprints are merged f
 vantage points, fitted on a bounded sample of the distinct fingerprints, deals all of them to shards: at a node with vantage
 point v and radius m, those with distance <= m go inside, the others outside, and an inner one with distance > m - r also goes
 outside. By the triangle inequality every pair within r bits shares a leaf (inner-inner inside, all others outside). A shard
-that is too large is split again by a tree of its own sample, until its tree makes no headway. Within a shard the task goes
+that is too large is split again by a tree of its own sample; trees grow in tasks and are joined to their shards' chunks. A shard in
+which no tree makes headway is dealt by hash, and pairs of parts are compared in tasks of their own. Within a shard the task goes
 on splitting and compares the leaves in blocks. A leaf returns the links of a spanning forest, at most one per
 fingerprint, never all pairs; components over all leaves then follow by Spark joins.
 
@@ -14,6 +15,8 @@ unless a whole component has no id; repeated rows are returned repeatedly; extra
 
 from __future__ import annotations
 
+import math
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,9 +32,10 @@ from tokscope.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 2
-SAMPLE = 32_768        # fingerprints sampled to the driver in the first round of splitting
-PER_SHARD = 256        # of each shard that is split again, at least (2 KB of the driver's memory each)
-MAX_SHARD = 8_192      # fingerprints of a shard, unless it cannot be split
+SAMPLE = 32_768        # fingerprints sampled for the tree in the first round of splitting
+PER_SHARD = 256        # of each shard that is split again, at least
+MAX_SHARD = 8_192      # fingerprints of a shard
+CHUNK = 262_144        # fingerprints dealt by a group
 LEAF = 1_024           # fingerprints compared directly
 BLOCK = 4_000_000      # pairs compared at a time
 
@@ -122,37 +126,53 @@ def deal(tree: Node | str, points: np.ndarray, r: int):
 
 
 def shards(fps: DataFrame, r: int, max_shard: int | None = None) -> DataFrame:
-    """fp, shard: every pair within ``r`` bits meets in a shard of at most ``max_shard`` fingerprints where trees can split."""
+    """fp, shard: every pair within ``r`` bits meets in a shard; shards hold ``max_shard`` fingerprints where trees can split them,
+    otherwise twice as many (see :func:`paired`). Shards that are too large are sampled, grown and dealt in tasks, in chunks of
+    about ``CHUNK`` fingerprints; two numbers a round reach the driver."""
     size = max_shard or MAX_SHARD
     state = settle(fps.select("fp", F.lit("s").alias("shard")))
-    spark, rng = fps.sparkSession, np.random.default_rng(11)
+
+    def grown(pdf: pd.DataFrame) -> pd.DataFrame:
+        pts = np.sort(pdf["fp"].to_numpy(np.int64)).view(np.uint64)
+        s = pdf["shard"].iloc[0]
+        tree = grow(pts, float(pdf["n"].iloc[0]) * MAX_SHARD / size, s, r, np.random.default_rng(11))
+        return pd.DataFrame({"shard": [s], "tree": [pickle.dumps(s + "!" if tree == s else tree)]})
+
+    def dealt(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a):
+            return pd.DataFrame({"fp": [], "shard": []})
+        s = a["shard"].iloc[0]
+        tree = pickle.loads(b["tree"].iloc[0]) if len(b) else s + "!"       # no sample: final
+        found = list(deal(tree, a["fp"].to_numpy(np.int64).view(np.uint64), r))
+        return pd.DataFrame({"fp": np.concatenate([q for _, q in found]).view(np.int64), "shard": np.repeat([x for x, _ in found], [len(q) for _, q in found])})
+
     while True:
-        big = {x.shard: x.n for x in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).collect()
-               if not x.shard.endswith("!")}
-        if not big:
-            return state
-        share = max(PER_SHARD, SAMPLE // len(big))
-        rates = spark.createDataFrame([(s, min(1.0, share / n)) for s, n in big.items()], "shard string, rate double")
+        sizes = settle(state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > size) & ~F.col("shard").endswith("!")))
+        big = sizes.agg(F.count(F.lit(1)).alias("shards"), F.max("n").alias("n")).first()
+        if not big.shards:
+            return paired(state, size)
+        salts, share = math.ceil(big.n / CHUNK), max(PER_SHARD, SAMPLE // big.shards)
+        each = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+        salted = state.withColumn("salt", F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(salts)).cast("int"))
+        large = salted.join(sizes.select("shard", "n", each), ["shard", "salt"], "left")
         u = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / float(1 << 30)
-        picked = state.join(rates, "shard").filter(u < F.col("rate")).select("shard", "fp").limit(2 * share * len(big)).toPandas()
-        trees = {}
-        for s, g in picked.groupby("shard"):
-            pts = np.sort(g["fp"].to_numpy(np.int64)).view(np.uint64)
-            trees[s] = grow(pts, big[s] * MAX_SHARD / size, s, r, rng)
-        trees |= {s: s + "!" for s in big if trees.get(s, s) == s}      # no sample or no split: final
-        sent = spark.sparkContext.broadcast(trees)
-        schema = pa.schema([("fp", pa.int64()), ("shard", pa.string())])
-
-        def run(batches):
-            t = sent.value
-            for b in batches:
-                p = b.column(0).to_numpy().view(np.uint64)
-                names, code = np.unique(b.column(1).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-                for i, s in enumerate(names):
-                    for leaf, q in deal(t.get(s, str(s)), p[code == i], r):
-                        yield batch(schema, (q.view(np.int64), [leaf] * len(q)))
-
-        state = settle(state.mapInArrow(run, "fp bigint, shard string"))
+        trees = settle(large.filter(u < F.lit(float(share)) / F.col("n")).select("shard", "n", "fp").groupBy("shard").applyInPandas(grown, "shard string, tree binary"))
+        moved = (large.filter("n IS NOT NULL").select("shard", "salt", "fp").groupBy("shard", "salt")
+                 .cogroup(trees.select("shard", "tree", each).groupBy("shard", "salt")).applyInPandas(dealt, "fp bigint, shard string"))
+        state = settle(large.filter("n IS NULL").select("fp", "shard").unionByName(moved))
+
+
+def paired(state: DataFrame, size: int) -> DataFrame:
+    """``state`` with the shards that no tree can split, and that are larger than ``size``, dealt by hash into parts of that size;
+    every pair of parts is a shard of its own, so that no task compares more than two parts."""
+    final = state.filter(F.col("shard").endswith("!")).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size)
+    parts = settle(final.select(F.col("shard").alias("s"), F.ceil(F.col("n") / size).cast("int").alias("p")))
+    rows = state.join(parts, F.col("shard") == F.col("s"), "left")
+    own = F.pmod(F.xxhash64("fp", F.lit(2)), F.col("p")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("p") - 1))
+    both = rows.filter("s IS NOT NULL").select("fp", "s", own.alias("i"), other.alias("j")).select(
+        "fp", F.concat_ws("-", "s", F.least("i", "j").cast("string"), F.greatest("i", "j").cast("string")).alias("shard"))
+    return rows.filter("s IS NULL").select("fp", "shard").unionByName(both)
 
 
 # -- within a shard --------------------------------------------------------------------------------------------------

@@ -30,8 +30,8 @@ def valid(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding")).filter(ok)
 
 
-def one_per_id(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """ids and vectors (double), ids ascending; of rows with one id the largest vector in component order stays."""
+def by_id(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """ids and vectors (double), ids ascending, vectors of one id in component order."""
     ids = pdf["vec_id"].to_numpy(np.int64)
     x = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 1))
     order = np.argsort(ids, kind="stable")
@@ -39,13 +39,19 @@ def one_per_id(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if len(ids) > 1 and (ids[1:] == ids[:-1]).any():
         order = np.lexsort([*x.T[::-1], ids])
         ids, x = ids[order], x[order]
-        last = np.append(ids[1:] != ids[:-1], True)
-        ids, x = ids[last], x[last]
     return ids, x
 
 
+def one_per_id(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`by_id`, but of rows with one id the largest vector alone: an id is one query."""
+    ids, x = by_id(pdf)
+    last = np.append(ids[1:] != ids[:-1], True) if len(ids) else np.zeros(0, bool)
+    return ids[last], x[last]
+
+
 def search(rows: DataFrame, is_query: Column, k: int, kernel: Kernel, score_type: str, shard: int = SHARD, queries: int = QUERIES) -> DataFrame:
-    """query_id, rank, vec_id, score. ``rows``: valid rows; vectors meet only vectors of their own length."""
+    """query_id, rank, vec_id, score. ``rows``: valid rows; vectors meet only vectors of their own length. All rows with other ids
+    than the query's are candidates, repeated ids too; of rows with a query's id the largest vector is the query."""
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     n_shards, n_blocks = max(1, math.ceil(n.n / shard)), max(1, math.ceil(n.q / queries))
     dim, h = F.size("embedding").alias("dim"), F.xxhash64("vec_id")
@@ -55,7 +61,7 @@ def search(rows: DataFrame, is_query: Column, k: int, kernel: Kernel, score_type
                                          F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        ids, x = one_per_id(a)
+        ids, x = by_id(a)
         qids, q = one_per_id(b)
         if not len(ids) or not len(qids):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
