@@ -93,6 +93,24 @@ FROM lm LEFT JOIN c ON lm.lang_code = c.lang
 """
 
 
+REQUESTED = ["hin", "xyz", "ben", "zzz", "eng"]
+
+
+@register("language_requested")
+def q_language_requested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given list of languages, absent and unknown ones too (those have no name)."""
+    return corpus.language_report(spark, corpus.documents(spark, sf_dir, indic=True), requested=REQUESTED)
+
+
+ORACLE["language_requested"] = f"""
+WITH r AS (SELECT unnest([{", ".join(map(q, REQUESTED))}]) AS lang_code),
+lm AS (SELECT * FROM (VALUES {", ".join(f"({q(c)}, {q(n)})" for c, n, *_ in langmeta.all_lang_meta())}) AS t(lang_code, lang_name)),
+c AS (SELECT lang, count(*) AS n FROM ({docs_sql(indic=True)}) GROUP BY lang)
+SELECT r.lang_code, lm.lang_name, CAST(coalesce(c.n, 0) AS BIGINT) AS n_docs, c.n IS NOT NULL AS present
+FROM r LEFT JOIN lm USING (lang_code) LEFT JOIN c ON r.lang_code = c.lang
+"""
+
+
 @register("subset_counts")
 def q_subset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of the smaller language subset only (semi join on lang)."""

@@ -76,13 +76,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Remove the written tables that this process made under the shared folder, once no DataFrame over them is in use any more
-    (a long session calls it between jobs). Returns how many paths were handed out since the last call."""
-    n = len(_SCRATCH)
-    while _SCRATCH:
-        remove(spark, _SCRATCH.pop())
-    return n
+def scratch_mark() -> int:
+    """How many scratch paths this process has handed out and not dropped."""
+    return len(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Remove the written tables that this process made under the shared folder after the mark ``since``, but the last ``keep`` of them,
+    once no DataFrame over them is in use any more (a long session calls it between jobs). Returns how many paths went."""
+    gone = _SCRATCH[since:len(_SCRATCH) - keep]
+    _SCRATCH[since:len(_SCRATCH) - keep] = []
+    for path in gone:
+        remove(spark, path)
+    return len(gone)
 
 
 def _file_system(spark: SparkSession, path: str):
