@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokscope.llm import langid, mixing, packing, quality, simhash
 from tokscope.llm.common import table, written
+from tokscope.session import drop_scratch, scratch_mark
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        drop_scratch(spark, since=mark, keep=1)         # the stage before, and what this one wrote on its way
     return docs
