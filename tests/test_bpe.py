@@ -42,8 +42,27 @@ def test_batched_equals_sequential(spark):
 
 
 def _waiting(word, head, last=0):
-    found = set()
-    bpe.waiting(word.split(" "), head, last, found)
+    table = bpe.PairTable([(l, r, c) for (l, r), c in head.items()])
+    return {table.pairs[i][:2] for i in bpe.waiting([word, "q q q"], table, last)}
+
+
+def _waiting_one_by_one(syms, head, last):
+    """The rule of the trainer's text for one word, pair by pair."""
+    found, pairs = set(), list(zip(syms, syms[1:]))
+    for i, p in enumerate(pairs):
+        c = head.get(p, 0)
+        floor = last if c == last else 0
+        after = max(head.get(pairs[i + 1], 0), floor) if i + 1 < len(pairs) else 0
+        before = max(head.get(pairs[i - 1], 0), floor) if i else 0
+        if not c:
+            continue
+        if p[0] == p[1]:
+            bad = (after >= c and pairs[i + 1] != p) or (before >= c and pairs[i - 1] != p)
+        else:
+            runs = ["".join(syms[j:i]) for j in range(i)]
+            bad = after > c or before > c or (after == c and p[0] > p[1]) or (before == c and not all(p[0] < x for x in runs))
+        if bad:
+            found.add(p)
     return found
 
 
@@ -61,6 +80,30 @@ def test_which_pairs_wait():
     assert _waiting("e d c", {("e", "d"): 7}, last=7) == {("e", "d")}
 
 
+def test_batches_of_words_follow_the_rule():
+    rnd = random.Random(2)
+    for _ in range(300):
+        words = [[rnd.choice(["a", "b", "c", "ab", "ba", "aa"]) for _ in range(rnd.randint(1, 9))] for _ in range(rnd.randint(1, 12))]
+        pairs = sorted({p for w in words for p in zip(w, w[1:])} | {("a", "z")})
+        head = {p: rnd.choice([3, 3, 4, 5]) for p in pairs if rnd.random() < 0.7 or p == pairs[0]}
+        last, table = rnd.choice([0, 3]), bpe.PairTable([(l, r, c) for (l, r), c in head.items()])
+        segs = [" ".join(w) for w in words]
+        assert {table.pairs[i][:2] for i in bpe.waiting(segs, table, last)} == set().union(*(_waiting_one_by_one(w, head, last) for w in words))
+        one = bpe.PairTable([(*rnd.choice(pairs), 1)])
+        got = bpe.merged(segs, one)
+        want = {i: " ".join(_merge(w, {one.pairs[0][:2]})) for i, w in enumerate(words)}
+        assert got == {i: x for i, x in want.items() if x != segs[i]}
+
+
+def _merge(syms, pairs):
+    out, i = [], 0
+    while i < len(syms):
+        two = tuple(syms[i:i + 2]) in pairs
+        out.append("".join(syms[i:i + 1 + two]))
+        i += 1 + two
+    return out
+
+
 def test_order_is_restored():
     assert bpe.in_order([("ab", "c", 5), ("x", "y", 9), ("a", "b", 5), ("b", "a", 5)]) == [("x", "y", 9), ("a", "b", 5), ("ab", "c", 5), ("b", "a", 5)]
 
@@ -144,12 +187,12 @@ def _rounds(words, budget, floor, head_size):
         if not top or left <= 0:
             return bpe.in_order(merges)[:budget], rounds
         head = top[:min(head_size, left)]
-        wait = set()
-        for s, _ in state:
-            bpe.waiting(s, {(l, r): n for l, r, n in head}, 0 if len(head) == len(top) else head[-1][2], wait)
-        now = head[:1] + [p for p in head[1:] if p[:2] not in wait]
+        segs = [" ".join(s) for s, _ in state]
+        wait = set(bpe.waiting(segs, bpe.PairTable(head), 0 if len(head) == len(top) else head[-1][2]).tolist())
+        now = head[:1] + [p for i, p in enumerate(head[1:], 1) if i not in wait]
         merges += now
-        state = [(bpe.merged(s, {p[:2] for p in now}), f) for s, f in state]
+        new = bpe.merged(segs, bpe.PairTable(now))
+        state = [(new.get(i, segs[i]).split(" "), f) for i, (_, f) in enumerate(state)]
         rounds += 1
 
 
@@ -188,7 +231,7 @@ def test_index_and_retired_words(spark):
     assert len(left) > 2 and left == sorted(left, reverse=True) and left[-1] < len(words)
     want = {w: list(w) for w in words}
     for l, r in exp:
-        want = {w: bpe.merged(s, {(l, r)}) for w, s in want.items()}
+        want = {w: _merge(s, {(l, r)}) for w, s in want.items()}
     assert {r["word"]: r["syms"] for r in m.segmentation.collect()} == want
 
 

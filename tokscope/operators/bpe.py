@@ -38,6 +38,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +54,7 @@ MIN_FREQUENCY = 5
 # -----------------------------------------------------------------------------
 HEAD = 1 << 17          # pairs sent to the tasks in a round, at most
 SNAPSHOT_EVERY = 8      # rounds between written tables
+WORDS = 8_192           # words looked at together in a task
 
 CODE_POINT_RE = "(?s)."
 STATE = "word string, freq bigint, seg string, was string"
@@ -110,44 +112,84 @@ def count_changes(state: DataFrame) -> DataFrame:
     return pair_counts(both).where("cnt <> 0")
 
 
-# -- within a word -----------------------------------------------------------------------------------------------------
-def waiting(syms: list[str], head: dict[tuple[str, str], int], last: int, found: set[tuple[str, str]]) -> None:
-    """Add to ``found`` the pairs of ``head`` that another pair of this word may come before. ``last``: the count that a pair
+# -- within words, a batch at a time ------------------------------------------------------------------------------------
+_BETWEEN = "\n"         # a token that stands between words; no symbol has white space
+
+
+class PairTable:
+    """Pairs with their counts, for finding them in many words at once: symbols become numbers, pairs become codes."""
+
+    def __init__(self, pairs: list[tuple[str, str, int]]):
+        self.pairs = pairs
+        names = sorted({x for l, r, _ in pairs for x in (l, r)})
+        self.number = {x: i for i, x in enumerate(names)}
+        l, r = (np.array([self.number[p[k]] for p in pairs], np.int64) for k in (0, 1))
+        code = l * len(names) + r
+        self.order = np.argsort(code)
+        self.code = code[self.order]
+        self.count = np.array([c for *_, c in pairs], np.int64)[self.order]
+        self.forward, self.same = (l < r)[self.order], (l == r)[self.order]      # names are in order, so numbers compare like symbols
+
+    def find(self, segs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(tokens of all words with ``_BETWEEN`` between them, for each position the place of the pair that begins there or -1,
+        whether a pair of one word begins there)."""
+        tokens = f" {_BETWEEN} ".join(segs).split(" ")
+        get = self.number.get
+        ids = np.fromiter((get(t, -2 if t == _BETWEEN else -1) for t in tokens), np.int64, len(tokens))
+        within = (ids[:-1] != -2) & (ids[1:] != -2)
+        code = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * len(self.number) + ids[1:], -1)
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return tokens, np.where(self.code[at] == code, at, -1), within
+
+
+def waiting(segs: list[str], head: PairTable, last: int) -> np.ndarray:
+    """Places in ``head.pairs`` of the pairs that another pair may come before in one of the words. ``last``: the count that a pair
     outside the head may have (0 if the head holds all)."""
-    pairs = list(zip(syms, syms[1:]))
-    counts = [head.get(p, 0) for p in pairs]
-    for i, (p, c) in enumerate(zip(pairs, counts)):
-        if not c or p in found:
+    tokens, at, within = head.find(segs)
+    known = at >= 0
+    c = np.where(known, head.count[at], 0)
+    floor = np.where(c == last, last, 0)
+    after, before = np.zeros_like(c), np.zeros_like(c)
+    after[:-1] = np.where(within[1:], np.maximum(c[1:], floor[:-1]), 0)
+    before[1:] = np.where(within[:-1], np.maximum(c[:-1], floor[1:]), 0)
+    unlike_after, unlike_before = np.ones(len(c), bool), np.ones(len(c), bool)
+    unlike_after[:-1] = at[:-1] != at[1:]
+    unlike_before[1:] = at[:-1] != at[1:]
+    same = head.same[at]
+    wait = np.where(same, ((after >= c) & unlike_after) | ((before >= c) & unlike_before), (after > c) | (before > c) | ((after == c) & ~head.forward[at])) & known
+    found = np.zeros(len(head.code), bool)
+    found[at[wait]] = True
+    tie = known & ~same & (before == c) & ~found[at]
+    for i in np.flatnonzero(tie).tolist():          # as frequent as the pair on the left: compare with every run that ends there
+        if found[at[i]]:
             continue
-        l, r = p
-        floor = last if c == last else 0
-        after = max(counts[i + 1], floor) if i + 1 < len(pairs) else 0
-        before = max(counts[i - 1], floor) if i else 0
-        if l == r:
-            if (after >= c and pairs[i + 1] != p) or (before >= c and pairs[i - 1] != p):
-                found.add(p)
-        elif after > c or before > c or (after == c and not l < r):
-            found.add(p)
-        elif before == c:
-            x = ""
-            for s in reversed(syms[:i]):
-                x = s + x
-                if not l < x:
-                    found.add(p)
-                    break
-
-
-def merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
-    """All occurrences of ``pairs`` replaced from left to right."""
-    out, i, n = [], 0, len(syms)
-    while i < n:
-        if i + 1 < n and (syms[i], syms[i + 1]) in pairs:
-            out.append(syms[i] + syms[i + 1])
-            i += 2
-        else:
-            out.append(syms[i])
-            i += 1
-    return out
+        x, j = "", i - 1
+        while j >= 0 and tokens[j] != _BETWEEN:
+            x = tokens[j] + x
+            if not tokens[i] < x:
+                found[at[i]] = True
+                break
+            j -= 1
+    return head.order[found]
+
+
+def merged(segs: list[str], pairs: PairTable) -> dict[int, str]:
+    """The words that hold one of ``pairs``, by place, with all occurrences replaced from left to right. Only a pair of equal symbols
+    can overlap itself."""
+    tokens, at, _ = pairs.find(segs)
+    hit = np.flatnonzero(at >= 0)
+    if not len(hit):
+        return {}
+    first = np.r_[True, (np.diff(hit) > 1) | (at[hit[1:]] != at[hit[:-1]])]        # of a run of neighbouring occurrences
+    start = hit[first][np.cumsum(first) - 1]
+    hit = hit[(hit - start) % 2 == 0]
+    ends = np.flatnonzero(np.array([t == _BETWEEN for t in tokens]))
+    begins, ends = np.r_[0, ends + 1], np.r_[ends, len(tokens)]
+    word = np.searchsorted(begins, hit, "right") - 1
+    for i in hit.tolist():
+        tokens[i] += tokens[i + 1]
+        tokens[i + 1] = ""
+    return {w: " ".join([t for t in tokens[begins[w]:ends[w]] if t]) for w in np.unique(word).tolist()}
 
 
 def in_order(merges: Iterable[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
@@ -176,20 +218,19 @@ def in_order(merges: Iterable[tuple[str, str, int]]) -> list[tuple[str, str, int
 # -- rounds ------------------------------------------------------------------------------------------------------------
 def mergeable(state: DataFrame, head: list[tuple[str, str, int]], last: int) -> list[tuple[str, str, int]]:
     """The pairs of ``head`` that wait in no word; one pass, of which only places in the head come back."""
-    place = {(l, r): i for i, (l, r, _) in enumerate(head)}
-    sent = state.sparkSession.sparkContext.broadcast({(l, r): c for l, r, c in head})
-    schema = pa.schema([("l", pa.string()), ("r", pa.string())])
+    sent = state.sparkSession.sparkContext.broadcast(PairTable(head))
+    schema = pa.schema([("place", pa.int32())])
 
     def run(batches):
-        known, found = sent.value, set()
+        found = np.zeros(len(sent.value.pairs), bool)
         for b in batches:
-            for seg in b.column(0).to_pylist():
-                waiting(seg.split(" "), known, last, found)
-        yield pa.RecordBatch.from_pydict({"l": [l for l, _ in found], "r": [r for _, r in found]}, schema=schema)
+            for i in range(0, b.num_rows, WORDS):
+                found[waiting(b.column(0).slice(i, WORDS).to_pylist(), sent.value, last)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found).astype(np.int32))], schema=schema)
 
-    held = state.where(F.col("seg").contains(" ")).select("seg").mapInArrow(run, "l string, r string").distinct().collect()
+    held = state.where("contains(seg, ' ')").select("seg").mapInArrow(run, "place int").distinct().collect()
     sent.unpersist()
-    wait = {place[x.l, x.r] for x in held} - {0}
+    wait = {x.place for x in held} - {0}
     return [p for i, p in enumerate(head) if i not in wait]
 
 
@@ -208,19 +249,18 @@ def least_count(pairs: DataFrame, min_frequency: int, size: int) -> int:
 
 def rewrite(state: DataFrame, merges: Iterable[tuple[str, str, int]]) -> DataFrame:
     """One round's merges in every word; ``was`` keeps the symbols of words that change."""
-    sent = state.sparkSession.sparkContext.broadcast({(l, r) for l, r, *_ in merges})
+    sent = state.sparkSession.sparkContext.broadcast(PairTable(list(merges)))
     schema = pa.schema([("word", pa.string()), ("freq", pa.int64()), ("seg", pa.string()), ("was", pa.string())])
 
     def run(batches):
-        pairs = sent.value
         for b in batches:
-            seg, was = [], []
-            for s in b.column(2).to_pylist():
-                syms = s.split(" ")
-                new = " ".join(merged(syms, pairs)) if any(p in pairs for p in zip(syms, syms[1:])) else s
-                seg.append(new)
-                was.append(s if new != s else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seg, pa.string()), pa.array(was, pa.string())], schema=schema)
+            for i in range(0, b.num_rows, WORDS):
+                part = b.slice(i, WORDS)
+                seg = part.column(2).to_pylist()
+                was: list[str | None] = [None] * len(seg)
+                for w, new in merged(seg, sent.value).items():
+                    was[w], seg[w] = seg[w], new
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(seg, pa.string()), pa.array(was, pa.string())], schema=schema)
 
     return state.select("word", "freq", "seg").mapInArrow(run, STATE)
 
