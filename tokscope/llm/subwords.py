@@ -12,9 +12,8 @@ import re
 
 import numpy as np
 
-from tokscope.llm.common import Memo
-
-MEMO = 120_000      # words of each of a task's two generations, and half as many parts: 80 MB at most
+MEMO = 400_000      # words remembered by a task: 100 MB at most
+PARTS = 60_000      # parts of words that are not letters alone: 15 MB at most
 
 # Letters, numbers and white space below U+0100, and the contractions of the file's pattern
 _L, _N, _S = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
@@ -36,7 +35,8 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.words, self.parts = Memo(MEMO), Memo(MEMO // 2)
+        self.words: dict[bytes, tuple] = {}
+        self.parts: dict[str, tuple] = {}
 
     def _part(self, part: str) -> tuple:
         ids = self.parts.get(part)
@@ -44,29 +44,31 @@ class WordIds:
             s = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(_LETTERS)
             ids = tuple([t.id for t in self.tokenize(s)])
             if len(part) <= 64:
-                self.parts.put(part, ids)
+                if len(self.parts) >= PARTS:
+                    self.parts.clear()
+                self.parts[part] = ids
         return ids
 
     def _word(self, word: bytes) -> tuple:
-        text = word.decode("utf-8", "surrogatepass")
         if word.isalpha():
-            ids = self._part(text.lower())
-        elif "<|" in text or _WIDE.search(text):
-            ids = tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            ids = tuple([t.id for t in self.tokenize(word.decode().lower())])
         else:
-            ids = tuple([i for p in _PART.findall(text.lower()) for i in self._part(p)])
+            text = word.decode("utf-8", "surrogatepass")
+            if "<|" in text or _WIDE.search(text):
+                ids = tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                ids = tuple([i for p in _PART.findall(text.lower()) for i in self._part(p)])
         if len(word) <= 64:
-            self.words.put(word, ids)
+            if len(self.words) >= MEMO:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
     def ids(self, text: str | None) -> list[int]:
         out: list[int] = []
-        add, older, words = out.extend, self.words.get, self.words
+        add, get, new = out.extend, self.words.get, self._word
         for w in (text or "").encode("utf-8", "surrogatepass").split():
-            ids = words.young.get(w)
-            if ids is None:
-                ids = older(w)
-            add(self._word(w) if ids is None else ids)
+            add(get(w) or new(w))
         return out
 
     def array(self, text: str | None, last: int | None = None) -> np.ndarray:
