@@ -11,6 +11,8 @@ from tokscope.operators import bpe, store
 from tokscope.session import ensure_checkpoint_dir, input_key, remove
 from tokscope.sources import corpus
 
+FORMAT = 1      # of saved trainings; a new one does not find the old ones
+
 #: models of this process by path
 _MODELS: dict[str, bpe.BpeModel] = {}
 
@@ -23,13 +25,16 @@ def training_words(spark: SparkSession, sf_dir: str):
 
 
 def store_dir(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/tokenizers"
+    """The folder of saved tokenizers: directly under ``spark.checkpoint.dir``, which other applications share (the context's own
+    checkpoint folder is a new one for each)."""
+    own = ensure_checkpoint_dir(spark)
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or own).rstrip('/')}/tokenizers"
 
 
 def saved_tokenizer(spark: SparkSession, sf_dir: str, max_merges: int | None = None) -> str:
     """Path of the tokenizer trained on the table as it is now (its files, with sizes and times, name it); trained if it isn't there.
     The run's own tables lie beside it, so that a driver which is lost while training goes on from the last snapshot."""
-    settings = {"vocab_size": bpe.VOCAB_SIZE, "min_frequency": bpe.MIN_FREQUENCY, "max_merges": max_merges}
+    settings = {"format": FORMAT, "vocab_size": bpe.VOCAB_SIZE, "min_frequency": bpe.MIN_FREQUENCY, "max_merges": max_merges}
     files = input_key(spark, f"{sf_dir}/documents.parquet")[1]
     name = "bpe-" + hashlib.sha256(repr((files, sorted(settings.items(), key=str))).encode()).hexdigest()[:16]
     path = f"{store_dir(spark)}/{name}"
