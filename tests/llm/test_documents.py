@@ -239,6 +239,23 @@ def test_word_ids_equal_the_whole_tokenizer(whole_tokenizer):
         assert w.ids(t) == whole_tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_ids_of_a_column_equal_the_whole_tokenizer(whole_tokenizer, monkeypatch):
+    import random
+
+    import pyarrow as pa
+    from tokscope.llm import subwords
+    signs = ["a", "B", "é", "É", "ß", "'s", "'", "’", "1", "²", ".", ",", "»", "ł", "İ", "K", "Σ", "<|", "|>", "<|ENDOFTEXT|>", "<|endoftext|>", " ", "\t", "\x0b", "\x85",
+             "\xa0", "中", "E\u0301", "\x1c", "😀", "\xad", "µ"]
+    rnd = random.Random(5)
+    xs = ["".join(rnd.choices(signs, k=rnd.randint(0, 14))) for _ in range(3000)] + [None, "", "It's a Long, long text. " * 50]
+    want = [whole_tokenizer.encode(x or "", add_special_tokens=False).ids + [1] for x in xs]
+    for size in (4_000_000, 40):                # 40: most texts are cut at white space
+        monkeypatch.setattr(subwords, "SLICE", size)
+        words = subwords.WordIds(packing.tokenizer_path())
+        column = pa.chunked_array([pa.array(["x"] + xs[:1000])[1:], pa.array(xs[1000:]), pa.array([], pa.string())])
+        assert [a.tolist() for a in words.arrays(column, 1)] == want
+
+
 def test_attention_scores_are_those_of_one_window_at_a_time():
     from tokscope.llm import attention as att
     rng = np.random.default_rng(3)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokscope.llm.common import batch, texts
+from tokscope.llm.common import batch
 from tokscope.llm.subwords import WordIds
 
 END_ID = 1
@@ -145,8 +145,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), path: str | None
             wait.clear()
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                ids = words.array(text, END_ID)
+            for doc_id, ids in zip(b.column(0).to_pylist(), words.arrays(b.column(1), END_ID)):
                 full = len(ids) - len(ids) % limits.tokens if limits.loss >= limits.tokens - 1 else 0
                 for at in range(0, full, limits.tokens):
                     piece(doc_id, len(ids), at, ids[at:at + limits.tokens], 0)
