@@ -75,14 +75,17 @@ def targets(cells: DataFrame, dim: str, given: Mapping[str, float] | None) -> Da
 def rake(cells: DataFrame, goals: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` with a weight (tokens after fitting): each round meets the goals of every dimension in turn."""
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
+    named = {dim: f"goal_{dim}" for dim in goals}
+    for dim, goal in goals.items():             # carried along, so that a step has one join
+        state = state.join(goal.withColumnRenamed("goal", named[dim]), f"{dim}_key")
+    state = written(state, "rake")
     for _ in range(rounds):
-        for dim, goal in goals.items():
-            k = f"{dim}_key"
-            now = state.groupBy(k).agg(F.sum("weight").alias("now")).join(goal, k)
-            factor = now.select(k, F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0).alias("f"))
-            state = state.join(factor, k).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
+        for dim in goals:
+            now = state.groupBy(f"{dim}_key").agg(F.sum("weight").alias("now"))
+            factor = F.when(F.col("now") > 0, F.col(named[dim]) / F.col("now")).otherwise(0.0)
+            state = state.join(now, f"{dim}_key").withColumn("weight", F.col("weight") * factor).drop("now")
         state = written(state, "rake")      # a table: a checkpoint would carry ever longer constraints from round to round
-    return state
+    return state.drop(*named.values())
 
 
 def calibrate(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
