@@ -288,3 +288,51 @@ def test_queries_train_to_the_frequency_floor(spark, tmp_path):
     rows = [(i, " ".join(words), "en", "s", 3 * len(words)) for i in range(bpe.MIN_FREQUENCY)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     assert len(training.trained_model(spark, str(tmp_path)).merge_list) == len(words)
+
+
+def test_packed_blocks_follow_the_plain_form():
+    """Words as arrays of symbol numbers wait, merge and count like words as texts, ties and runs of equal symbols included."""
+    import numpy as np
+    rnd = random.Random(9)
+
+    def counts(segs, freq):
+        c = {}
+        for s, f in zip(segs, freq):
+            for p in zip(s.split(" "), s.split(" ")[1:]):
+                c[p] = c.get(p, 0) + int(f)
+        return c
+
+    for _ in range(300):
+        segs = [" ".join(rnd.choice(["a", "b", "c", "ab", "ba", "aa"]) for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(1, 12))]
+        freq = np.array([rnd.choice([1, 2, 1 << 60]) for _ in segs], np.int64) if rnd.random() < 0.1 and len(segs) == 1 else np.array([rnd.randint(1, 9) for _ in segs], np.int64)
+        syms = bpe.Symbols(["c", "b", "a"], [("b", "a", 1), ("a", "b", 1), ("a", "a", 1)])
+        ids = np.array([x for s in segs for x in [*(syms.number[t] for t in s.split(" ")), -1]][:-1], np.int32)
+        named = lambda code, cnt: {(syms.names[c // bpe.CODE], syms.names[c % bpe.CODE]): n for c, n in zip(code.tolist(), cnt.tolist())}  # noqa: E731, B023
+        assert named(*bpe.block_counts(ids, freq)) == counts(segs, freq)
+        pairs = sorted({p for s in segs for p in zip(s.split(" "), s.split(" ")[1:])} | {("a", "c")})
+        head = [(*p, rnd.choice([3, 3, 4, 5])) for p in pairs if rnd.random() < 0.7 or p == pairs[0]]
+        code = np.array([syms.number[l] * bpe.CODE + syms.number[r] for l, r, _ in head], np.int64)
+        cnt, last = np.array([c for *_, c in head], np.int64), rnd.choice([0, 3])
+        table = bpe.CodeTable(code, cnt, syms.order(), syms.names)
+        at, within = table.find(ids)
+        got = bpe.waits(at, within, table, last, lambda i: syms.names[ids[i]] if ids[i] >= 0 else None)  # noqa: B023
+        assert sorted(got.tolist()) == sorted(bpe.waiting(segs, bpe.PairTable(head), last).tolist())
+        one = rnd.randrange(len(head))
+        made = np.array([syms.add(head[one][0] + head[one][1])], np.int32)
+        new, code, cnt = bpe.block_merged(ids, freq, bpe.CodeTable(code[[one]], cnt[[one]], syms.order(), made=made))
+        after = [bpe.merged(segs, bpe.PairTable([head[one]])).get(i, s) for i, s in enumerate(segs)]
+        assert " ".join(syms.names[i] if i >= 0 else "|" for i in new.tolist()).split(" | ") == after
+        was, now = counts(segs, freq), counts(after, freq)
+        assert named(code, cnt) == {p: n for p in was | now if (n := now.get(p, 0) - was.get(p, 0))}
+
+
+def test_small_trainings_have_few_tasks(spark, tmp_path):
+    """A round's tasks follow the words, not the session's shuffle partitions (200 where nobody sets them)."""
+    df = spark.createDataFrame(list(_corpus(10).items()), "word string, freq bigint")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        bpe.train(df, min_frequency=2, specials=[], snapshot_every=1, folder=str(tmp_path / "run"), max_rounds=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(list((tmp_path / "run/pairs/round-000001").glob("part-*"))) == 1
