@@ -114,3 +114,20 @@ def test_scratch_tables_can_be_removed(spark, monkeypatch):
     assert kept.count() == 3 and os.path.isdir(kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0])
     folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
     assert session.drop_scratch(spark) == 1 and not os.path.exists(folder)
+
+
+def test_first_n_spreads_a_hot_group(spark):
+    """All rows of one language, with nulls beside it: the join with the cutoff deals them to many tasks, not to the language's one."""
+    rows = spark.range(0, 4000).select(F.when(F.col("id") % 50 == 0, None).otherwise("hot").alias("lang"), F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100).alias("text"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = corpus.first_n_per_group(rows, 3000, "lang", "doc_id").select("lang", "doc_id", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    first = [i for i in range(4000) if i % 50][:3000]
+    assert sorted(r.doc_id for r in got) == sorted(first + list(range(0, 4000, 50)))
+    tasks = [r.task for r in got if r.lang]
+    assert max(tasks.count(t) for t in set(tasks)) < 1500
