@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from reference_impl import bpe_train_sequential
@@ -336,3 +337,32 @@ def test_small_trainings_have_few_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(list((tmp_path / "run/pairs/round-000001").glob("part-*"))) == 1
+
+
+def test_pairs_whose_hash_is_taken_are_found():
+    rng = np.random.default_rng(7)
+    pairs = rng.integers(0, 300, (20_000, 2))
+    code = np.unique(pairs[:, 0] * bpe.CODE + pairs[:, 1])[::2]
+    table = bpe.CodeTable(rng.permutation(code), np.ones(len(code), np.int64), np.arange(300))
+    ids = rng.integers(-1, 300, 200_000).astype(np.int32)
+    at, within = table.find(ids)
+    there, same = bpe.codes(ids)
+    assert len(table.lookup[2]) and (within == same).all()
+    assert ((at >= 0) == (same & np.isin(there, code))).all() and (table.code[at[at >= 0]] == there[at >= 0]).all()
+    assert not len(table.find(ids[:1])[0])
+
+
+def test_a_round_sums_its_changes_without_python(spark):
+    """Only the rewriting of words is a Python task: every other one costs each round its start."""
+    words = spark.createDataFrame([("abab", 7), ("aab", 5), ("ba", 6)], "word string, freq bigint")
+    syms = bpe.Symbols("ab")
+    blocks = bpe.packed(bpe.initial_state(words).coalesce(1), syms)
+    made = np.array([syms.add("ab")], np.int32)
+    new = bpe.rewritten(blocks, bpe.CodeTable(np.array([1], np.int64), np.array([19], np.int64), np.arange(2), made=made))
+    path = bpe.scratch_path(spark, "blocks")
+    new.write.parquet(path)
+    changes = bpe.block_pairs(spark.read.parquet(path))
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "Python" not in plan
+    got = {(r.code // bpe.CODE, r.code % bpe.CODE): r.cnt for r in changes.collect()}
+    assert got == {(0, 1): -19, (1, 0): -7, (2, 2): 7, (0, 0): -5, (0, 2): 5}
