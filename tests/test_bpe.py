@@ -366,3 +366,28 @@ def test_a_round_sums_its_changes_without_python(spark):
     assert "InArrow" not in plan and "Python" not in plan
     got = {(r.code // bpe.CODE, r.code % bpe.CODE): r.cnt for r in changes.collect()}
     assert got == {(0, 1): -19, (1, 0): -7, (2, 2): 7, (0, 0): -5, (0, 2): 5}
+
+
+def test_the_last_rounds_equal_one_at_a_time(spark):
+    """Once the vocabulary is full, one task makes the rounds that are left for the words that can still matter, in few more jobs."""
+    for seed, budget in ((8, 7), (12, 25), (13, 40)):
+        words = _corpus(seed)
+        df = spark.createDataFrame(list(words.items()), "word string, freq bigint").repartition(3)
+        exp, segs = bpe_train_sequential(words, budget)
+        jobs = []
+        for last in (0, 1 << 21):
+            spark.sparkContext.setJobGroup(f"last {seed} {last}", "")
+            m = bpe.train(df, min_frequency=1, specials=[], max_merges=budget, last_symbols=last)
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"last {seed} {last}")))
+            assert [(r.left, r.right, r.cnt) for r in m.merges.orderBy("rank").collect()] == exp
+            assert {r["word"]: list(r["syms"]) for r in m.segmentation.collect()} == segs
+        spark.sparkContext.setJobGroup("", "")
+        assert jobs[1] <= jobs[0], jobs
+    assert jobs[1] < jobs[0], jobs
+
+
+def test_words_without_a_pair_are_left_out():
+    ids = np.array([0, 1, -1, 2, -1, 1, 0, 1], np.int32)
+    assert bpe.holding(ids, np.array([0, -1, -1, -1, -1, -1, -1])).tolist() == [True, False, False]
+    for keep, want in (([1, 0, 1], [0, 1, -1, 1, 0, 1]), ([1, 1, 0], [0, 1, -1, 2]), ([0, 1, 0], [2]), ([0, 0, 0], []), ([1, 1, 1], ids.tolist())):
+        assert bpe.of_words(ids, np.array(keep, bool)).tolist() == want
