@@ -70,3 +70,34 @@ def test_evaluation_splits_the_text_once(spark, tmp_path):
     assert words.count("FileScan") == 1 and words.count("posexplode") == 1
     plan = evaluation.evaluate(spark, docs, SQL_MODELS)._jdf.queryExecution().executedPlan().toString()
     assert "posexplode" not in plan and path not in plan
+
+
+def test_words_are_not_dealt_out_per_model(spark):
+    """Every tokenizer's sums are taken side by side, one row a word; the closed forms agree with the tokens."""
+    from tokscope.functions.text import COVERAGE_MARKERS, LENGTH_MARKERS
+    from tokscope.operators import metrics
+    from tokscope.operators.tokenizers import SQL_MODELS, TOKENIZERS
+    words = ["ab", "#a#b[1]<", "▁Ġ#Ċ", "\U0001d4cd\U0001d4cdé", "नमस्ते,x", "12.5!!", "[", "Ċa", "क\u200dख"]
+    rows = [(lang, i % 2 == 0, w, i + 1, 0) for i, w in enumerate(words) for lang in ("x", "y")[:1 + i % 2]] + [("x", True, None, 3, 40), ("y", True, None, 2, 9)]
+    wc = spark.createDataFrame(rows, "lang string, in_cont boolean, word string, cnt long, n_bytes long")
+    sums = metrics.model_sums(wc, {"c": "char", "again": "char"} | {m: m for m in SQL_MODELS})
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan[plan.index("Aggregate"):]
+    got = {(r["model"], r["lang"]): r for r in sums.collect()}
+    first = {}
+    for r in metrics.first_chars(wc, {"c": "char"} | {m: m for m in SQL_MODELS}).collect():
+        assert r["ch"] not in first.setdefault(r["model"], set())
+        first[r["model"]].add(r["ch"])
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for m in SQL_MODELS:
+        toks = {r["w"]: list(r["t"]) for r in df.select("w", TOKENIZERS[m].tokens(df.w).alias("t")).collect()}
+        for lang in ("x", "y"):
+            mine = [(toks[w], n, cont) for x, cont, w, n, _ in rows if x == lang and w is not None]
+            r = got[(m, lang)]
+            assert (r["n_words"], r["cont_words"]) == (sum(n for _, n, _ in mine), sum(n for _, n, c in mine if c))
+            assert r["n_tokens"] == r["len_n"] == sum(len(t) * n for t, n, _ in mine) and r["n_unk"] == 0
+            assert r["len_sum"] == sum(len(x.lstrip(LENGTH_MARKERS)) * n for t, n, _ in mine for x in t)
+            assert r["cont_split"] == sum(n for t, n, c in mine if c and len(t) > 1)
+            assert r["n_ref_tokens"] == got[("script", lang)]["n_tokens"]
+        assert first[m] == {y[0] for t in toks.values() for x in t if (y := x.lstrip(COVERAGE_MARKERS))}
+    assert first["c"] == first["char"] and got[("c", "x")][2:] == got[("char", "x")][2:] == got[("again", "x")][2:]
