@@ -63,3 +63,14 @@ def test_spans_in_segments(spark):
     want = sorted([(d, k, t, a, b) for d, x in [(r[0], r[1]) for r in df.collect()] for k, (t, a, b) in enumerate(pretokenize_spans(x or ""))], key=str)
     assert sorted(map(tuple, out.collect()), key=str) == want
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_stay_where_the_text_is_read(spark):
+    """No shuffle, sort or window; texts of more tokens than the largest block, with white space at both ends."""
+    texts = ["\u3000ab 12,5.x!!  \U0001d4cdé\u00a0\n" * 150, " " * 30_000 + "a" + " " * 30_000, "-" * 700]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = pretok.pretoken_spans(df, chunk=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Exchange", "Sort", "Window", "FileScan"))
+    want = [(d, k, t, a, b) for d, x in enumerate(texts) for k, (t, a, b) in enumerate(pretokenize_spans(x))]
+    assert sorted(map(tuple, out.collect())) == want and len(want) > 64 * 8
