@@ -391,3 +391,70 @@ def test_words_without_a_pair_are_left_out():
     assert bpe.holding(ids, np.array([0, -1, -1, -1, -1, -1, -1])).tolist() == [True, False, False]
     for keep, want in (([1, 0, 1], [0, 1, -1, 1, 0, 1]), ([1, 1, 0], [0, 1, -1, 2]), ([0, 1, 0], [2]), ([0, 0, 0], []), ([1, 1, 1], ids.tolist())):
         assert bpe.of_words(ids, np.array(keep, bool)).tolist() == want
+
+
+def test_own_rounds_equal_one_at_a_time(spark, tmp_path):
+    """Where few words hold all pairs down to some count, one task makes the rounds down to it: the same merges in fewer jobs, in the journal too."""
+    words = {w.translate({97 + i: 97 + 6 * k + i for i in range(6)}): f * (2 if k else 50) + k for k in range(4) for w, f in _corpus(21 + 100 * k, 12).items()}
+    words |= {"aaaa": 90, "aaaaa": 31}
+    df = spark.createDataFrame(list(words.items()), "word string, freq bigint").repartition(3)
+    exp, _ = bpe_train_sequential(words, 10_000)
+    want = {w: list(w) for w in words}
+    for l, r in (kept := [(l, r) for l, r, c in exp if c >= 9]):
+        want = {w: _merge(s, {(l, r)}) for w, s in want.items()}
+    jobs, calls, real = [], [], bpe.own_rounds
+    for many in (1 << 30, 1):
+        bpe.own_rounds = lambda *a: calls.append(many) or real(*a)  # noqa: B023
+        spark.sparkContext.setJobGroup(f"own {many}", "")
+        try:
+            m = bpe.train(df, min_frequency=9, specials=[], many=many, folder=str(tmp_path / f"run-{many}"))
+        finally:
+            bpe.own_rounds = real
+            spark.sparkContext.setJobGroup("", "")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"own {many}")))
+        assert m.merge_list == kept
+        assert {r["word"]: list(r["syms"]) for r in m.segmentation.collect()} == want
+    assert calls and set(calls) == {1} and jobs[1] < jobs[0], (calls, jobs)
+    again = bpe.train(df, min_frequency=9, specials=[], many=1, folder=str(tmp_path / "run-1"))
+    assert again.merge_list == kept and {r["word"]: list(r["syms"]) for r in again.segmentation.collect()} == want
+
+
+def test_rounds_in_turn_equal_one_after_the_other(spark):
+    """Several rounds' merges in one job give the symbols and the changes of as many jobs, words that no round changes included."""
+    rnd = random.Random(3)
+    words = spark.createDataFrame([(w, f) for w, f in _corpus(23).items()] + [("z", 3)], "word string, freq bigint")
+    syms = bpe.Symbols("abcdefz")
+    blocks = bpe.packed(bpe.initial_state(words).coalesce(2), syms).persist()
+    turns, left = [], ["a", "b", "c"]
+    for _ in range(3):
+        l, r = (rnd.choice(left) for _ in range(2))
+        left.append(l + r)
+        number = syms.add(l + r)
+        turns.append((syms.number[l] * bpe.CODE + syms.number[r], number))
+    place = syms.order()
+    turns = [bpe.CodeTable(np.array([c], np.int64), np.array([9], np.int64), place, made=np.array([n], np.int32)) for c, n in turns]
+    head = bpe.CodeTable(np.array([a * bpe.CODE + b for a in range(3) for b in range(3)], np.int64), np.full(9, 9, np.int64), place)
+    state = lambda df: sorted((r.word, r.freq, r.seg) for r in bpe.plain(df, syms, None).collect())
+    index = lambda dfs: {k: n for k, n in _added(r for df in dfs for r in bpe.block_pairs(df).collect()).items() if n}
+    one, steps = blocks, []
+    for t in turns:
+        one = bpe.rewritten(one, t)
+        steps.append(one)
+    got = bpe.rewritten_in_turn(blocks, head, turns)
+    assert state(got) == state(one) and state(got) != state(blocks) and index([got]) == index(steps)
+    blocks.unpersist()
+
+
+def _added(rows):
+    out = {}
+    for r in rows:
+        out[r.code] = out.get(r.code, 0) + r.cnt
+    return out
+
+
+def test_words_by_their_most_frequent_pair():
+    ids = np.array([0, 1, 2, -1, 2, -1, 1, 0], np.int32)
+    top, size = bpe.most_frequent(ids, np.array([5, 7, 0, 0, 0, 0, 3]))
+    assert top.tolist() == [7, 0, 3] and size.tolist() == [4, 2, 3]
+    assert [x.tolist() for x in bpe.most_frequent(ids[:1], np.zeros(0, np.int64))] == [[0], [2]]
+    assert (np.diff(bpe.LEVELS) > 0).all() and bpe.LEVELS[0] == 1
