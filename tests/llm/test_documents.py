@@ -351,3 +351,43 @@ def test_attention_learns_from_documents_outside_the_start_sample(spark, monkeyp
     known = lm.att.score(m, np.append(lm.att.END, t[:-1]), t, np.array([len(t)]))[0].mean()
     start = lm.att.Model(m.slot, m.escape_log, lm.att.initial(np.random.default_rng(1))).ready()
     assert known > lm.att.score(start, np.append(lm.att.END, t[:-1]), t, np.array([len(t)]))[0].mean() + 1
+
+
+def test_attention_step_handles_large_exponents_and_keeps_its_arrays():
+    from tokscope.llm import attention as att
+    rng = np.random.default_rng(7)
+    w = {k: v.astype(np.float64) * (40 if k in ("E", "O", "C") else 1) for k, v in att.initial(rng).items()}    # exponents far above what float32 holds
+    x, y = rng.integers(0, 2048, (2, 4, att.WINDOW))
+    y[2, 5:] = -1
+    h = att.Model(np.zeros(1), np.zeros(1), w).ready().w["E"][x].reshape(-1, att.DIM)
+    assert np.abs(h @ w["O"].T).max() > 100
+    room, want = att.Room(), att.gradient(w, x, y)
+    other = att.gradient(w, x[:2], y[:2], room)
+    held = dict(room.held)
+    got = att.gradient({k: v.astype(np.float32) for k, v in w.items()}, x, y)
+    again = att.gradient(w, x, y, room)
+    att.gradient(w, x[:2], y[:2], room, other)
+    assert held.keys() == room.held.keys()
+    for k in w:
+        assert np.isfinite(got[k]).all() and np.array_equal(again[k], want[k]), k
+    assert np.allclose(got["O"], want["O"], atol=1e-3 * np.abs(want["O"]).max())
+    steps = att._adam({k: v.astype(np.float32) for k, v in att.initial(np.random.default_rng(1)).items()}, [(np.hstack([x, y[:, -1:]]), 0.01)])
+    first = att.initial(np.random.default_rng(1))
+    slope = att.gradient(first, x, np.hstack([x, y[:, -1:]])[:, 1:])
+    for k in first:                                     # Adam's first step is the rate, against the slope
+        far = np.abs(slope[k]) > 1e-4
+        assert np.allclose((steps[k] - first[k])[far], -0.01 * np.sign(slope[k][far]), atol=1e-4), k
+
+
+def test_lm_blocks_keep_their_subword_ids(spark, odd, monkeypatch):
+    path = lm.tokenizer_path()
+    sub, made = lm.Subwords(path), [r.asDict() for r in lm.blocks(odd).collect()]
+    for row in made:
+        ids, size = lm.block_ids(row)
+        want = sub.of(lm._unpacked(row["words"]).split(b" ") if row["words"] else [])
+        assert ids.tolist() == want[0].tolist() and size.tolist() == want[1].tolist() and len(size) == row["n_words"]
+    monkeypatch.setattr(lm.Subwords, "of", None)        # neither windows nor scores encode a word again
+    slot = np.arange(len(sub.begins) + 1) % (att_slots := lm.att.CLASSES * lm.att.PER_CLASS)
+    model = lm.att.Model(slot, np.zeros(len(slot)), lm.att.initial(np.random.default_rng(1))).ready()
+    assert sum(len(p) for row in made for t in range(lm.PASSES) for p in lm.block_windows(slot, None, row, t)) > 0 and att_slots == lm.att.SLOTS
+    assert all(lm.block_scores(model, None, row, np.zeros(row["n_words"], np.int64), 1, 1, 1).shape == (4, len(row["lengths"])) for row in made)
