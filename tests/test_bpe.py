@@ -458,3 +458,44 @@ def test_words_by_their_most_frequent_pair():
     assert top.tolist() == [7, 0, 3] and size.tolist() == [4, 2, 3]
     assert [x.tolist() for x in bpe.most_frequent(ids[:1], np.zeros(0, np.int64))] == [[0], [2]]
     assert (np.diff(bpe.LEVELS) > 0).all() and bpe.LEVELS[0] == 1
+
+
+def test_documents_are_encoded_together_as_one_by_one(spark, monkeypatch):
+    from tokscope.functions.text import UNK_TOKEN
+    from tokscope.operators import encode
+    monkeypatch.setattr(encode, "TOGETHER", 7)          # several slices of a batch, and documents with more pieces than one holds
+    words = {"abab": 9, "abc": 7, "cab": 5, "a": 3, "bc": 4}
+    m = bpe.train(spark.createDataFrame(list(words.items()), "word string, freq bigint"), vocab_size=60, min_frequency=1, specials=["[PAD]", UNK_TOKEN], max_merges=4)
+    texts = ["abab cab", None, "", " \t ", "abc abab x!? abc", "abc " * 50, "zz", "abab cab", "\x1fbc\n"]
+    rows = [(None if i == 4 else i % 7, "en", t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").coalesce(1)
+    ids = {r.token: r.id for r in m.vocab.collect()}
+    ranks, alphabet = {p: i for i, p in enumerate(m.merge_list)}, {t for t in ids if len(t) == 1}
+    want = []
+    for doc_id, _, t in rows:
+        pieces = [p for w in (t or "").split() for p in (["x", "!?"] if w == "x!?" else [w])]
+        tokens = [x for p in pieces for x in encode_word(p, ranks, alphabet, UNK_TOKEN)]
+        want.append((doc_id, None if t is None else len(t.split()), len(tokens), tokens.count(UNK_TOKEN), [ids[x] for x in tokens], " ".join(tokens)))
+    enc = encode.encoded_documents(docs, m, pretokenize=False)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(map(str, ((r.doc_id, r.n_words, r.n_tokens, r.n_unk, r.ids) for r in enc.collect()))) == sorted(str(w[:5]) for w in want)
+    assert sorted(map(str, map(tuple, encode.decoded_documents(enc, m).collect()))) == sorted(str((w[0], w[5])) for w in want)
+    counts = encode.encode_documents(docs, m, pretokenize=False)
+    assert sorted(map(str, ((r.doc_id, r.n_words, r.n_tokens, r.n_unk) for r in counts.collect()))) == sorted(str(w[:4]) for w in want)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ids" not in plan                   # what is only counted is not sent back
+
+
+def test_token_ids_encode_the_texts_once(spark, monkeypatch):
+    from tokscope.plans import q_bpe
+    from tokscope.functions.text import SPECIAL_TOKENS
+    words = {"the": 9, "and": 7, "ing": 5}
+    m = bpe.train(spark.createDataFrame(list(words.items()), "word string, freq bigint"), vocab_size=60, min_frequency=1, specials=SPECIAL_TOKENS, max_merges=4)
+    monkeypatch.setattr(q_bpe.training, "trained_model", lambda spark, sf_dir: m)
+    monkeypatch.setattr(q_bpe.corpus, "documents", lambda spark, sf_dir, indic: spark.createDataFrame(
+        [(1, "en", "the and the thing"), (2, "de", "and again and again"), (2, "de", "and the same number"), (None, "en", "the nameless thing"), (3, "en", None)],
+        "doc_id bigint, lang string, text string"))
+    got = q_bpe.q_bpe_token_ids(spark, "")
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = [(r.doc_id, r.n_tokens, len(r.ids.split()), len(r.tokens.split())) for r in got.collect()]
+    assert sorted(r[0] for r in rows) == [1, 2, 2, 2, 2] and all(r[1] == r[2] for r in rows)      # rows of one number meet each other, as before
